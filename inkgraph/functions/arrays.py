@@ -55,3 +55,12 @@ def unit_length(values: Column) -> Column:
     return F.zip_with(
         values, F.array_repeat(norm, F.size(values)), lambda x, n: F.when(n > 0, x / n).otherwise(x)
     )
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A plain column would be copied by the optimizer into every lambda that uses
+    it, and then computed again for each array element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

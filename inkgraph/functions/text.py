@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from inkgraph.functions.arrays import let
+
 # The cleaning patterns, and their order.
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 CITATION = r"\(Citation:[^)]+\)"
@@ -88,8 +90,9 @@ def adjacent_pairs(items: Column) -> Column:
 
 def terms(text: Column) -> Column:
     """Single tokens followed by pairs of neighbouring tokens."""
-    words = tokens(text)
-    return F.concat(words, F.transform(adjacent_pairs(words), lambda p: F.concat_ws(" ", p["left"], p["right"])))
+    return let(tokens(text), lambda words: F.concat(
+        words, F.transform(adjacent_pairs(words), lambda p: F.concat_ws(" ", p["left"], p["right"]))
+    ))
 
 
 def indicators(text: Column) -> Column:
