@@ -10,9 +10,9 @@ from inkgraph.functions.arrays import field_list, first_field, joined, or_empty
 from inkgraph.functions.text import clean_text, preview
 
 
-def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Bundle files, one JSON document each; many files read in parallel."""
-    return spark.read.schema(schemas.BUNDLE).option("multiLine", True).json(path)
+def read_bundles(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Bundle files, one JSON document each (or one per line, which can be split further)."""
+    return spark.read.schema(schemas.BUNDLE).option("multiLine", not one_per_line).json(path)
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
