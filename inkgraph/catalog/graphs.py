@@ -304,7 +304,7 @@ d{i} AS (SELECT s, v, min(d) AS d FROM (SELECT * FROM {last} UNION ALL
   SELECT x.s, y.v, x.d + y.d FROM {last} x JOIN {last} y ON x.v = y.s) GROUP BY ALL),"""
         last = f"d{i}"
     return f"""
-d0 AS (SELECT n_name AS s, n_name AS v, 0.0 AS d FROM nation UNION ALL SELECT src, dst, weight FROM main),
+d0 AS (SELECT n_name AS s, n_name AS v, 0.0::DOUBLE AS d FROM nation UNION ALL SELECT src, dst, weight FROM main),
 {squares}
 tight AS (SELECT a.s, src AS u, dst AS v FROM {last} a JOIN main ON a.v = src JOIN {last} b ON b.s = a.s AND b.v = dst
   WHERE a.d + weight = b.d),

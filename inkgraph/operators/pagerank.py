@@ -9,12 +9,17 @@ from inkgraph.operators.skew import find_hot
 from inkgraph.session import cut
 
 
+ROUNDS_PER_CUT = 5
+
+
 def pagerank(graph: Graph, damping: float = 0.85, max_rounds: int = 100, tol: float = 1e-6) -> DataFrame:
     """(id, pagerank).  Stops when ranks move by less than ``n * tol`` in total.
 
     Each round joins ranks to the outgoing edges and sums per target, map-side
     first.  Edges keep their partitioning by source between rounds.  The change
-    and the rank held by sinks come back as two numbers.
+    and the rank held by sinks come back as two numbers.  A round is cached until
+    the next one is done, so a lost executor costs at most ``ROUNDS_PER_CUT``
+    rounds for its part of the nodes.
     """
     spark = graph.nodes.sparkSession
     moves = transition_probabilities(graph.edges)
@@ -27,8 +32,8 @@ def pagerank(graph: Graph, damping: float = 0.85, max_rounds: int = 100, tol: fl
     if n == 0:
         return nodes.select("id", F.lit(0.0).alias("pagerank"))
     on_sinks = sinks / n
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
-    for _ in range(max_rounds):
+    ranks = before = nodes.withColumn("rank", F.lit(1.0 / n))
+    for done in range(1, max_rounds + 1):
         sent = (
             moves.join(hot.copy(ranks.select(F.col("id").alias("src"), "rank"), "src"), ["src", "salt"])
             .groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
@@ -36,16 +41,20 @@ def pagerank(graph: Graph, damping: float = 0.85, max_rounds: int = 100, tol: fl
         )
         base = (1 - damping) / n + damping * on_sinks / n
         new = F.lit(base) + damping * F.coalesce("got", F.lit(0.0))
-        ranks = cut(
+        stepped = (
             ranks.withColumnRenamed("rank", "old").join(sent, "id", "left")
             .select("id", "moves_on", new.alias("rank"), F.abs(new - F.col("old")).alias("moved"))
         )
-        moved, on_sinks = ranks.agg(
+        stepped = cut(stepped) if done % ROUNDS_PER_CUT == 0 else stepped.persist()
+        moved, on_sinks = stepped.agg(
             F.sum("moved"), F.coalesce(F.sum(F.when(F.col("moves_on").isNull(), F.col("rank"))), F.lit(0.0))
         ).first()
-        ranks = ranks.drop("moved")
+        before.unpersist()
+        before, ranks = stepped, stepped.select("id", "moves_on", "rank")
         if moved < n * tol:
             break
+    ranks = cut(ranks)
+    before.unpersist()
     return ranks.select("id", F.col("rank").alias("pagerank"))
 
 

@@ -8,7 +8,10 @@ DEFAULT_WEIGHT = 0.5
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """Text is written unchanged: blanks at either end stay, quotes are doubled."""
+    df.write.mode(mode).options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
