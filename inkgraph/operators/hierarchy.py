@@ -82,7 +82,7 @@ def ward_merges(df: DataFrame, key: str, column: str, block_rows: int = BLOCK_RO
         near = cut(_nearest(clusters, rows, block_rows))
         back = near.select(F.col("c").alias("other"), F.col("other").alias("c"))
         mutual = near.join(back, ["c", "other"]).filter(F.col("c") < F.col("other"))
-        merges = cut(mutual.select(F.col("c").alias("kept"), F.col("other").alias("gone"), "cost"))
+        merges = mutual.select(F.col("c").alias("kept"), F.col("other").alias("gone"), "cost")
         clusters = cut(_merge(clusters, merges))
         rounds.append(merges)
         rows = clusters.count()

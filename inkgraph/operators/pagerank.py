@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from inkgraph.operators.graph import Graph, transition_probabilities
 from inkgraph.operators.skew import find_hot
-from inkgraph.session import cut
+from inkgraph.session import cut, cut_in_place
 
 
 ROUNDS_PER_CUT = 5
@@ -25,7 +25,7 @@ def pagerank(graph: Graph, damping: float = 0.85, max_rounds: int = 100, tol: fl
     moves = transition_probabilities(graph.edges)
     hot = find_hot(moves, "src")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    moves = cut(hot.spread(moves, "src", by=["dst"]).repartition(parts, "src", "salt"))
+    moves = cut_in_place(hot.spread(moves, "src", by=["dst"]).repartition(parts, "src", "salt"))
     sources = moves.select(F.col("src").alias("id")).distinct().withColumn("moves_on", F.lit(True))
     nodes = cut(graph.nodes.select("id").distinct().join(sources, "id", "left"))
     n, sinks = nodes.agg(F.count("*"), F.count_if(F.col("moves_on").isNull())).first()

@@ -42,17 +42,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name next to the checkpoints, for tables written between two steps."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/inkgraph-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and drop its lineage.
+    """Write ``df`` to the shared folder and read it back: lineage ends, the data outlives any executor.
 
-    The data outlives any executor, and the returned frame keeps the hash
-    partitioning of ``df``, so later joins on the same key need no exchange.
+    A table read back has a known size (so small ones are broadcast at once) and
+    none of the constraints of the plan behind it, which in a loop would grow
+    with every round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name next to the checkpoints, for tables written between two steps."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/inkgraph-{uuid.uuid4().hex}"
+def cut_in_place(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but keeps the partitioning of ``df``: joins on the same key need no new exchange."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
