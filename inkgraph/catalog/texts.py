@@ -91,7 +91,7 @@ def x1_indicators(spark, folder):
     pages = load(spark, folder, "pages", spread_by="page_id").select(
         F.concat(F.lit("p"), "page_id").alias("key"), F.concat_ws(" ", "url", "html").alias("text")
     )
-    found = docs.unionByName(pages).select("key", F.explode(tx.indicators(F.col("text"))).alias("i"))
+    found = arrays.unnest(docs.unionByName(pages), tx.indicators(F.col("text")), "i", "key")
     return found.select("key", "i.kind", "i.value")
 
 
@@ -107,12 +107,12 @@ SCORER = keywords.KeywordScorer
 
 
 def k1_keyword_hits(spark, folder):
-    hits = _docs(spark, folder).select("doc_id", F.explode(SCORER().hits(F.col("text"))).alias("h"))
+    hits = arrays.unnest(_docs(spark, folder), SCORER().hits(F.col("text")), "h", "doc_id")
     return hits.select("doc_id", "h.label", "h.label_ord", "h.keyword")
 
 
 def _scores(spark, folder, scorer):
-    rows = _docs(spark, folder).select("doc_id", F.explode(scorer.scores(F.col("text"))).alias("s"))
+    rows = arrays.unnest(_docs(spark, folder), scorer.scores(F.col("text")), "s", "doc_id")
     return rows.select("doc_id", "s.label", F.round("s.ratio", 6).alias("ratio"), F.round("s.score", 6).alias("score"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def or_empty(value: Column) -> Column:
@@ -64,3 +64,13 @@ def let(value: Column, body) -> Column:
     it, and then computed again for each array element.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def unnest(df: DataFrame, items: Column | str, name: str, *keep: Column | str) -> DataFrame:
+    """One row per array element, as column ``name`` next to ``keep``.
+
+    A plain explode of a computed column makes the optimizer add a filter on its
+    size, which computes the column a second time, often in the scan.  The outer
+    form does not; the row it adds for an empty array is dropped again.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())

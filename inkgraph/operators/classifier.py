@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from inkgraph.operators import tfidf
 
 MIN_ROWS = 10
+ROWS_PER_TASK = 5_000      # small training sets use fewer tasks per iteration
 
 
 def enough_rows(df: DataFrame, more_than: int = MIN_ROWS) -> bool:
@@ -60,11 +61,12 @@ def fit(
     features = tfidf.fit(df, text, max_features)
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc").fit(df)
     rows = indexer.transform(features.vectors(df, text, "features")).select("features", "label_idx").persist()
+    tasks = -(-rows.count() // ROWS_PER_TASK)
     try:
         model = LogisticRegression(
             featuresCol="features", labelCol="label_idx", maxIter=max_iter, elasticNetParam=0.0,
             regParam=1.0 / (c * features.n_docs), standardization=False,
-        ).fit(rows)
+        ).fit(rows.coalesce(tasks) if tasks < rows.rdd.getNumPartitions() else rows)
     finally:
         rows.unpersist()
     return TextClassifier(features, indexer.labels, model)

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from inkgraph.functions.arrays import squared_distance
+from inkgraph.functions.arrays import squared_distance, unnest
 from inkgraph.operators import silhouette, tfidf
 
 RESTARTS = 20
@@ -122,7 +122,7 @@ def cluster_keywords(
     """
     sizes = rows.groupBy(cluster).agg(F.count("*").alias("members"))
     sums = (
-        rows.select(cluster, F.explode(F.arrays_zip("indices", "weights")).alias("e"))
+        unnest(rows, F.arrays_zip("indices", "weights"), "e", cluster)
         .groupBy(cluster, F.col("e.indices").alias("idx")).agg(F.sum("e.weights").alias("total"))
     )
     order = Window.partitionBy(cluster).orderBy(F.desc("weight"), "idx")

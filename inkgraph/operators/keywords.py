@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkgraph import fixed_values as fixed
-from inkgraph.functions.arrays import let
+from inkgraph.functions.arrays import let, unnest
 
 MAX_KEYWORDS = 100_000     # checked bound of the dictionary held in the plan
 
@@ -101,6 +101,5 @@ def classify(df: DataFrame, text: str, scorer: Scorer, top: int = 3, column: str
 
 def explode_ranked(df: DataFrame, keys: list[str], column: str = "ranked") -> DataFrame:
     """One row per ranked label: keys, rank, label, score."""
-    return df.select(*keys, F.posexplode(column).alias("pos", "entry")).select(
-        *keys, (F.col("pos") + 1).alias("rank"), "entry.label", "entry.score"
-    )
+    numbered = F.transform(column, lambda e, i: F.struct((i + 1).alias("rank"), e["label"].alias("label"), e["score"].alias("score")))
+    return unnest(df, numbered, "entry", *keys).select(*keys, "entry.rank", "entry.label", "entry.score")

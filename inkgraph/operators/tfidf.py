@@ -15,7 +15,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from inkgraph.functions.arrays import unit_length
+from inkgraph.functions.arrays import unit_length, unnest
 from inkgraph.functions.text import terms
 
 
@@ -112,8 +112,7 @@ def fit(docs: DataFrame, text: str, max_features: int) -> TfIdf:
     if not kept:
         raise ValueError("no terms: every document is empty")
     seen = (
-        _counted(docs, text, kept)
-        .select(F.explode("counts.indices").alias("idx"))
+        unnest(_counted(docs, text, kept), "counts.indices", "idx")
         .groupBy("idx").agg(F.count("*").alias("df"))
     )
     df = {row["idx"]: row["df"] for row in seen.collect()}
@@ -123,7 +122,7 @@ def fit(docs: DataFrame, text: str, max_features: int) -> TfIdf:
 def explode_weights(rows: DataFrame, key: str, model: TfIdf) -> DataFrame:
     """Sparse rows to (key, term, weight)."""
     names = F.from_json(F.lit(json.dumps(model.terms)), T.ArrayType(T.StringType()))
-    return rows.select(key, F.explode(F.arrays_zip("indices", "weights")).alias("e")).select(
+    return unnest(rows, F.arrays_zip("indices", "weights"), "e", key).select(
         key, F.get(names, F.col("e.indices")).alias("term"), F.col("e.weights").alias("weight")
     )
 

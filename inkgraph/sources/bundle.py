@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inkgraph import schemas
 from inkgraph import fixed_values as fixed
-from inkgraph.functions.arrays import field_list, first_field, joined, or_empty
+from inkgraph.functions.arrays import field_list, first_field, joined, or_empty, unnest
 from inkgraph.functions.text import clean_text, preview
 
 
@@ -26,7 +26,7 @@ def parse_bundles(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def explode_objects(bundles: DataFrame) -> DataFrame:
-    return bundles.select(F.explode("objects").alias("o"))
+    return unnest(bundles, "objects", "o")
 
 
 def _of_type(objects: DataFrame, kind: str) -> DataFrame:
