@@ -79,7 +79,7 @@ def flow_graph(spark, folder) -> graph.Graph:
 
 def event_steps(spark, folder) -> DataFrame:
     return graph.transitions(
-        load(spark, folder, "events"), "user_id", ["ts", "event_id"], "event_type", F.to_date("ts")
+        load(spark, folder, "events"), "user_id", ["ts", "event_id"], "event_type", F.date_trunc("hour", "ts")
     )
 
 

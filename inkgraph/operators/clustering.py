@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from inkgraph.functions.arrays import squared_distance, unnest
 from inkgraph.operators import silhouette, tfidf
+from inkgraph.operators.skew import lookup_join
+from inkgraph.session import cut
 
 RESTARTS = 20
 SWEEP_RESTARTS = 15
@@ -103,15 +105,12 @@ def nearest_centroid(df: DataFrame, column: str, centres: DataFrame, cluster: st
 
 def inertia(df: DataFrame, column: str, cluster: str = "cluster") -> DataFrame:
     """Sum of squared distances of rows to the mean of their own cluster."""
-    centres = F.broadcast(centroids(df, column, cluster)) if _few(df, cluster) else centroids(df, column, cluster)
-    own = df.select(cluster, F.col(column).cast("array<double>").alias("point")).join(centres, cluster)
+    centres = cut(centroids(df, column, cluster))
+    points = df.select(cluster, F.col(column).cast("array<double>").alias("point"))
+    own = lookup_join(points, centres, cluster, by=["point"])
     return own.agg(F.sum(squared_distance(F.col("point"), F.col("centroid"))).alias("inertia"))
 
 
-def _few(df: DataFrame, cluster: str) -> bool:
-    return df.select(cluster).distinct().limit(MAX_CLUSTERS + 1).count() <= MAX_CLUSTERS
-
-
 def cluster_keywords(
     rows: DataFrame, cluster: str, model: tfidf.TfIdf, top: int = 8
 ) -> DataFrame:
@@ -120,14 +119,14 @@ def cluster_keywords(
     ``rows`` carries ``cluster``, ``indices`` and ``weights``.  Weights are summed
     map-side to at most clusters x vocabulary rows before any ranking.
     """
-    sizes = rows.groupBy(cluster).agg(F.count("*").alias("members"))
+    sizes = cut(rows.groupBy(cluster).agg(F.count("*").alias("members")))
     sums = (
         unnest(rows, F.arrays_zip("indices", "weights"), "e", cluster)
         .groupBy(cluster, F.col("e.indices").alias("idx")).agg(F.sum("e.weights").alias("total"))
     )
     order = Window.partitionBy(cluster).orderBy(F.desc("weight"), "idx")
     return (
-        sums.join(sizes, cluster)
+        lookup_join(sums, sizes, cluster, by=["idx"])
         .withColumn("weight", F.round(F.col("total") / F.col("members"), 6))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= top)

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from inkgraph.operators.silhouette import block_pairs
+from inkgraph.operators.skew import lookup_join
 from inkgraph.session import cut
 
 BLOCK_ROWS = 2_000
@@ -104,7 +105,7 @@ def ward(df: DataFrame, key: str, column: str, k: int = 4, block_rows: int = BLO
     tree = cut(ids.join(parents, "id", "left").select("id", F.coalesce("up", "id").alias("up")))
     while True:
         above = tree.select(F.col("id").alias("up"), F.col("up").alias("top"))
-        lifted = cut(tree.join(above, "up").select("id", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")))
+        lifted = cut(lookup_join(tree, above, "up", by=["id"]).select("id", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")))
         tree = lifted.drop("moved")
         if lifted.filter("moved").isEmpty():
             break

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from inkgraph.functions.text import adjacent_pairs
 from inkgraph.operators.graph import weight_or_default
-from inkgraph.operators.skew import Hot, find_hot, spread_join
+from inkgraph.operators.skew import Hot, checked_broadcast, find_hot, spread_join
 from inkgraph.session import cut
 
 PLACES = 6      # probabilities are compared after rounding, then by path
@@ -46,7 +46,7 @@ def ranked_paths(edges: DataFrame, pairs: DataFrame, cutoff: int = 10, top: int
     out_hot, in_hot = find_hot(edges, "src"), find_hot(edges, "dst")
     heaviest = edges.agg(F.max("w")).first()[0] or 0.0
     pairs = pairs.select("start", "end").filter(F.col("start") != F.col("end")).distinct()
-    near = _hops_to_end(edges, pairs.select("end").distinct(), cutoff, in_hot)
+    near = checked_broadcast(_hops_to_end(edges, pairs.select("end").distinct(), cutoff, in_hot))
 
     frontier = pairs.select(
         "start", "end", F.col("start").alias("tail"), F.array("start").alias("path"), F.lit(1.0).alias("p")
@@ -72,7 +72,7 @@ def ranked_paths(edges: DataFrame, pairs: DataFrame, cutoff: int = 10, top: int
         at_most = F.round(F.col("p") * max(1.0, heaviest) ** left, PLACES)
         frontier = (
             grown.filter(F.col("tail") != F.col("end"))
-            .join(bound, ["start", "end"], "left")
+            .join(checked_broadcast(bound), ["start", "end"], "left")
             .filter(F.col("worst").isNull() | (at_most >= F.col("worst")))
             .drop("worst")
         )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from inkgraph.operators.skew import lookup_join
+
 
 def profile_name(cluster: Column) -> Column:
     """The given name of a cluster, or ``Cluster-<id>``."""
@@ -22,7 +24,8 @@ def profiles(
         hac.select(key, F.col("cluster").alias("hac_cluster")), key
     )
     per_cluster = keywords.join(names, "cluster", "full").withColumnRenamed("cluster", "kmeans_cluster")
-    return docs.select(key, title).join(both, key).join(per_cluster, "kmeans_cluster", "left").select(
+    rows = docs.select(key, title).join(both, key)
+    return lookup_join(rows, per_cluster, "kmeans_cluster", by=[key], how="left").select(
         F.col(key).alias("report_id"), F.col(title).alias("title"), "kmeans_cluster", "hac_cluster",
         profile_name(F.col("kmeans_cluster")).alias("actor_profile"),
         F.coalesce("top_keywords", F.array().cast("array<string>")).alias("top_keywords"),
@@ -31,7 +34,7 @@ def profiles(
 
 def scatter(points: DataFrame, key: str, title: str, names: DataFrame) -> DataFrame:
     """(id, title, x, y, cluster, profile) from rows with x, y and cluster."""
-    return points.join(names, "cluster", "left").select(
+    return lookup_join(points, names, "cluster", by=[key], how="left").select(
         F.col(key).alias("id"), F.col(title).alias("title"), "x", "y", "cluster",
         profile_name(F.col("cluster")).alias("profile"),
     )

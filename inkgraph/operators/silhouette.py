@@ -17,6 +17,9 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
+from inkgraph.operators.skew import lookup_join
+from inkgraph.session import cut
+
 BLOCK_ROWS = 2_000
 
 
@@ -81,8 +84,8 @@ def distance_sums(df: DataFrame, key: str, column: str, cluster: str, block_rows
 def values(df: DataFrame, key: str, column: str, cluster: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, cluster, a, b, silhouette) of every row; rows of singleton clusters get 0."""
     sums = distance_sums(df, key, column, cluster, block_rows)
-    sizes = df.groupBy(F.col(cluster).alias("other")).agg(F.count("*").alias("size"))   # one row per cluster
-    mean = sums.join(sizes, "other")
+    sizes = cut(df.groupBy(F.col(cluster).alias("other")).agg(F.count("*").alias("size")))   # one row per cluster
+    mean = lookup_join(sums, sizes, "other", by=["id"])
     inside = F.col("own") == F.col("other")
     per_row = mean.groupBy("id", "own").agg(
         F.max(F.when(inside, F.col("size"))).alias("size"),

@@ -57,6 +57,7 @@ def _match(docs: pd.DataFrame, postings: _Postings, top: int) -> pd.DataFrame:
     sizes = [len(ids) for ids, _ in found]
     return pd.DataFrame({
         "doc": np.repeat(docs["doc"].to_numpy(), sizes),
+        "rank": np.concatenate([np.arange(1, size + 1) for size in sizes] or [np.empty(0, np.int64)]),
         "ref": np.concatenate([ids for ids, _ in found] or [np.empty(0, np.int64)]),
         "similarity": np.concatenate([sims for _, sims in found] or [np.empty(0)]),
     })
@@ -71,20 +72,22 @@ def top_matches(
     right = refs.select(
         F.col(ref).alias("ref"), F.col("indices").alias("ref_indices"), F.col("weights").alias("ref_weights")
     )
-    schema = f"doc {left.schema['doc'].dataType.simpleString()}, " \
+    schema = f"doc {left.schema['doc'].dataType.simpleString()}, rank int, " \
              f"ref {right.schema['ref'].dataType.simpleString()}, similarity double"
+    right = right.filter(F.size("ref_indices") > 0)
     entries = right.agg(F.sum(F.size("ref_indices"))).first()[0] or 0
     blocks = max(1, math.ceil(entries / block_entries))
-    if blocks == 1:
+    if blocks == 1:      # rows and entries are both within the checked bound
         shared = docs.sparkSession.sparkContext.broadcast(_Postings(right.toPandas()))
 
         def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 yield _match(batch, shared.value, top)
 
-        best = left.mapInPandas(match, schema)
-    else:
-        best = _matched_by_blocks(left, right, schema, top, blocks, block_docs)
+        return left.mapInPandas(match, schema).select(
+            F.col("doc").alias(doc), "rank", F.col("ref").alias(ref), "similarity"
+        )
+    best = _matched_by_blocks(left, right, schema, top, blocks, block_docs)
     order = Window.partitionBy("doc").orderBy(F.desc("similarity"), "ref")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select(F.col("doc").alias(doc), "rank", F.col("ref").alias(ref), "similarity")

@@ -60,6 +60,11 @@ def spread_join(
     return hot.spread(many, key, by).join(hot.copy(few, key), [key, "salt"], how).drop("salt")
 
 
+def checked_broadcast(few: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``few`` with a broadcast hint if it is counted to be small, else as it is (AQE then splits hot keys)."""
+    return F.broadcast(few) if few.limit(limit + 1).count() <= limit else few
+
+
 def lookup_join(
     many: DataFrame, few: DataFrame, key: str, by: list[str], how: str = "inner", limit: int = BROADCAST_ROWS
 ) -> DataFrame:
