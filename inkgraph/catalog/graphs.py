@@ -424,7 +424,7 @@ FROM (SELECT src AS id FROM trade UNION SELECT dst FROM trade) LEFT JOIN
     "s7_export_links": f"""
 WITH {TRADE_SQL} SELECT src AS source, dst AS target, round(CASE WHEN share > 0.05 THEN share ELSE 0.5 END, 3) AS weight FROM main""",
     "a1_summary": _RANKED + f"""
-SELECT (SELECT count(*) FROM documents) AS total_reports, {len(fixed.LABELS)} AS total_tactics,
+SELECT (SELECT count(*) FROM documents) AS total_reports, {len(fixed.LABELS)}::BIGINT AS total_tactics,
   (SELECT count(*) FROM nation) AS graph_nodes, (SELECT count(*) FROM main) AS graph_edges,
   (SELECT string_agg(id, ', ' ORDER BY p DESC, id) FROM (SELECT id, round(pagerank, 8) AS p FROM ranks ORDER BY 2 DESC, 1 LIMIT 5))
     AS top_critical, false AS supervised_ready""",

@@ -141,6 +141,13 @@ GRAPH_EDGES = [
     ("Exfiltration", "Impact", 0.5),
 ]
 
+# --- fixed values: weights and kinds of edges, default node type --------------
+DEFAULT_WEIGHT = 0.5
+MEMBER_WEIGHT = 0.4
+MEMBER_EDGE = "intra_tactic"
+CLASS_EDGE = "cross_tactic"
+NODE_TYPE = "tactic"
+
 # --- fixed values: members (id, name) of each graph class --------------------
 CLASS_MEMBERS = {
     "Initial Access": [("T1566", "Phishing"), ("T1190", "Exploit Public-Facing App"), ("T1078", "Valid Accounts")],

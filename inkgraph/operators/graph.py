@@ -6,12 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from inkgraph import fixed_values as fixed
 from inkgraph.operators.skew import find_hot, lookup_join, spread_join
 from inkgraph.session import cut
 
-DEFAULT_WEIGHT = 0.5
-MEMBER_WEIGHT = 0.4
-
 
 @dataclass(frozen=True)
 class Graph:
@@ -42,7 +40,7 @@ def build_graph(nodes: DataFrame, edges: DataFrame, order: str | None = None) ->
     return Graph(merged.groupBy("id").agg(F.first("n", ignorenulls=True).alias("n")).select("id", "n.*"), edges)
 
 
-def expand_to_members(class_edges: DataFrame, members: DataFrame, member_weight: float = MEMBER_WEIGHT) -> DataFrame:
+def expand_to_members(class_edges: DataFrame, members: DataFrame, member_weight: float = fixed.MEMBER_WEIGHT) -> DataFrame:
     """Edges between members: within a class (both directions), and along class edges.
 
     ``members`` is (class, node).  The result is as large as the pairs it lists;
@@ -52,7 +50,7 @@ def expand_to_members(class_edges: DataFrame, members: DataFrame, member_weight:
         members.select("class", F.col("node").alias("src"))
         .join(members.select("class", F.col("node").alias("dst")), "class")
         .filter(F.col("src") != F.col("dst"))
-        .select("src", "dst", F.lit(member_weight).alias("weight"), F.lit("intra_tactic").alias("edge_type"),
+        .select("src", "dst", F.lit(member_weight).alias("weight"), F.lit(fixed.MEMBER_EDGE).alias("edge_type"),
                 F.lit(0).alias("ord"))
     )
     starts = members.select(F.col("class").alias("from_class"), F.col("node").alias("src"))
@@ -60,7 +58,7 @@ def expand_to_members(class_edges: DataFrame, members: DataFrame, member_weight:
     across = (
         class_edges.select(F.col("src").alias("from_class"), F.col("dst").alias("to_class"), "weight")
         .join(starts, "from_class").join(ends, "to_class")
-        .select("src", "dst", "weight", F.lit("cross_tactic").alias("edge_type"), F.lit(1).alias("ord"))
+        .select("src", "dst", "weight", F.lit(fixed.CLASS_EDGE).alias("edge_type"), F.lit(1).alias("ord"))
     )
     return last_edge(inside.unionByName(across), "ord")
 
@@ -89,7 +87,7 @@ def size_and_density(graph: Graph) -> DataFrame:
 
 
 def weight_or_default(weight: Column) -> Column:
-    return F.coalesce(weight, F.lit(DEFAULT_WEIGHT))
+    return F.coalesce(weight, F.lit(fixed.DEFAULT_WEIGHT))
 
 
 def transition_probabilities(edges: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_WEIGHT = 0.5
+from inkgraph import fixed_values as fixed
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -32,7 +32,7 @@ def export_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.select(
         "id",
         F.coalesce("description", F.lit("")).alias("description"),
-        F.coalesce("type", F.lit("tactic")).alias("type"),
+        F.coalesce("type", F.lit(fixed.NODE_TYPE)).alias("type"),
     )
 
 
@@ -40,7 +40,7 @@ def export_links(edges: DataFrame) -> DataFrame:
     return edges.select(
         F.col("src").alias("source"),
         F.col("dst").alias("target"),
-        F.round(F.coalesce("weight", F.lit(DEFAULT_WEIGHT)), 3).alias("weight"),
+        F.round(F.coalesce("weight", F.lit(fixed.DEFAULT_WEIGHT)), 3).alias("weight"),
     )
 
 

@@ -35,7 +35,7 @@ def profile_names(spark: SparkSession) -> DataFrame:
 
 def graph_nodes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        [(name, text, "tactic") for name, text in fixed.NODE_DESCRIPTIONS.items()], schemas.NODES
+        [(name, text, fixed.NODE_TYPE) for name, text in fixed.NODE_DESCRIPTIONS.items()], schemas.NODES
     )
 
 
