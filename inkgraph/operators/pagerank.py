@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from inkgraph.operators.graph import Graph, transition_probabilities
-from inkgraph.operators.skew import find_hot
+from inkgraph.operators.skew import BROADCAST_ROWS, find_hot
 from inkgraph.session import cut, cut_in_place
 
 
@@ -16,27 +16,32 @@ def pagerank(graph: Graph, damping: float = 0.85, max_rounds: int = 100, tol: fl
     """(id, pagerank).  Stops when ranks move by less than ``n * tol`` in total.
 
     Each round joins ranks to the outgoing edges and sums per target, map-side
-    first.  Edges keep their partitioning by source between rounds.  The change
-    and the rank held by sinks come back as two numbers.  A round is cached until
-    the next one is done, so a lost executor costs at most ``ROUNDS_PER_CUT``
-    rounds for its part of the nodes.
+    first.  Ranks counted to be few are broadcast; otherwise edges are partitioned
+    by source once and only ranks are exchanged.  The change and the rank held by
+    sinks come back as two numbers.  A round is cached until the next one is done,
+    so a lost executor costs at most ``ROUNDS_PER_CUT`` rounds for its part.
     """
-    spark = graph.nodes.sparkSession
-    moves = transition_probabilities(graph.edges)
-    hot = find_hot(moves, "src")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    moves = cut_in_place(hot.spread(moves, "src", by=["dst"]).repartition(parts, "src", "salt"))
+    parts = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moves = cut(transition_probabilities(graph.edges).repartition(parts, "src", "dst"))     # even, whatever the hubs
     sources = moves.select(F.col("src").alias("id")).distinct().withColumn("moves_on", F.lit(True))
     nodes = cut(graph.nodes.select("id").distinct().join(sources, "id", "left"))
     n, sinks = nodes.agg(F.count("*"), F.count_if(F.col("moves_on").isNull())).first()
     if n == 0:
         return nodes.select("id", F.lit(0.0).alias("pagerank"))
     on_sinks = sinks / n
+    few_nodes = n <= BROADCAST_ROWS
+    if not few_nodes:
+        hot = find_hot(moves, "src")
+        moves = cut_in_place(hot.spread(moves, "src", by=["dst"]), "src", "salt")
     ranks = before = nodes.withColumn("rank", F.lit(1.0 / n))
     for done in range(1, max_rounds + 1):
+        senders = ranks.select(F.col("id").alias("src"), "rank")
+        joined = (
+            moves.join(F.broadcast(senders), "src") if few_nodes
+            else moves.join(hot.copy(senders, "src"), ["src", "salt"])
+        )
         sent = (
-            moves.join(hot.copy(ranks.select(F.col("id").alias("src"), "rank"), "src"), ["src", "salt"])
-            .groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
+            joined.groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
             .withColumnRenamed("dst", "id")
         )
         base = (1 - damping) / n + damping * on_sinks / n

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from inkgraph.operators.graph import weight_or_default
 from inkgraph.operators.skew import lookup_join
-from inkgraph.session import cut
+from inkgraph.session import cut, cut_in_place
 
 CHUNK_EDGES = 65_536       # edges of one node that are summed up in order in one group
 MAX_SLOTS = 65_536         # slots of [0, 1) per node; further edges only share a slot
@@ -67,15 +67,17 @@ def random_walks(
 
     Before each step a walk may stop; it also stops at a node without out-edges.
     A step is an equi-join on (node, slot of the random number), so walks that
-    are at the same hub spread over its slots.
+    are at the same hub spread over its slots.  Edges are partitioned and sorted
+    by that key once; in a step only the walks are exchanged.
     """
     parts = cut(_slots(intervals(edges)))
     widths = cut(parts.groupBy("src").agg(F.max("slots").alias("slots")))
-    moves = cut(
+    moves = cut_in_place(
         lookup_join(
             parts.drop("slots"), widths.select(F.col("src").alias("dst"), F.col("slots").alias("next_slots")), "dst",
             by=["src", "slot"], how="left",
-        ).withColumnsRenamed({"src": "node", "dst": "next_node"})
+        ).withColumnsRenamed({"src": "node", "dst": "next_node"}),
+        "node", "slot",
     )
     state = lookup_join(starts, widths.withColumnRenamed("src", "start"), "start", by=[walk], how="left").select(
         walk, F.col("start").alias("node"), "slots", F.array("start").alias("path"), F.lit(0).alias("n_moves")

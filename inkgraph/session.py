@@ -60,7 +60,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_in_place(df: DataFrame) -> DataFrame:
-    """Like ``cut``, but keeps the partitioning of ``df``: joins on the same key need no new exchange."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_in_place(df: DataFrame, *keys: str) -> DataFrame:
+    """Like ``cut``, but partitioned and sorted by ``keys``, so that joins on them exchange only the other side.
+
+    A checkpoint remembers its partitioning only if its plan is not adaptive;
+    adaptive planning is therefore off while this one small plan runs.
+    """
+    spark = df.sparkSession
+    table = cut(df)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return table.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
