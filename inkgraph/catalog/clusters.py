@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from inkgraph import fixed_values as fixed
 from inkgraph.catalog.common import load, q
 from inkgraph.catalog.texts import FEATURES, WEIGHTS_SQL
-from inkgraph.functions import arrays
 from inkgraph.operators import clustering, hierarchy, lsa, profiles, silhouette, tfidf
 from inkgraph.plans import reports
 from inkgraph.session import cut

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from inkgraph import fixed_values as fixed
 from inkgraph import schemas
 from inkgraph.functions.text import preview
-from inkgraph.operators import classifier, clustering, evaluation, hierarchy, lsa, profiles, silhouette, split, tfidf
+from inkgraph.operators import classifier, clustering, evaluation, hierarchy, lsa, profiles, silhouette, split
 from inkgraph.operators.keywords import KeywordScorer, Scorer
 from inkgraph.session import cut
 
