@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkgraph.llm import language, lm_bloom, near_duplicates, toxicity
+from inkgraph.llm import language, lm_bloom, multi_index, near_duplicates, top_k, toxicity
 from inkgraph.llm.common import fold, table
 
 
+def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_inner_products(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
     return language.identify(docs, ~F.col("held_out"), "held_out")
@@ -17,6 +21,10 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = lm_bloom.score(docs, fold("doc_id", 5) != 1)
@@ -32,8 +40,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_top_k": op1_top_k,
     "op6_language": op6_language,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_nearest": op8_nearest,
     "op9_lm_scores": op9_lm_scores,
     "op10_toxicity": op10_toxicity,
 }
