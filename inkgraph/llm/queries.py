@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkgraph.llm import language, lm_bloom, multi_index, near_duplicates, top_k, toxicity
+from inkgraph.llm import bpe, language, lm_bloom, multi_index, near_duplicates, packing, secret_scan, top_k, toxicity
 from inkgraph.llm.common import fold, table
 
 
@@ -12,6 +13,19 @@ def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.top_inner_products(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digests(bpe.encode(table(spark, folder, "documents"), path), path)
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
     return language.identify(docs, ~F.col("held_out"), "held_out")
@@ -41,6 +55,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_top_k": op1_top_k,
+    "op3_packing": op3_packing,
+    "op4_secrets": op4_secrets,
+    "op5_bpe": op5_bpe,
     "op6_language": op6_language,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_nearest": op8_nearest,
