@@ -9,9 +9,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(docs: DataFrame, *keep: str) -> DataFrame:
-    """(doc_id, text, keep...) with a null text as the empty one; other columns are left unread."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keep)
+def texts(docs: DataFrame, *keep: Column | str) -> DataFrame:
+    """(doc_id, text, keep...); other columns are left unread.  A null text becomes the empty one unless ``text`` is to be kept as it is."""
+    text = F.col("text") if "text" in [k for k in keep if isinstance(k, str)] else F.coalesce("text", F.lit("")).alias("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, *[k for k in keep if not isinstance(k, str) or k != "text"])
+
+
+def schema_of(rows: DataFrame, *names: str) -> str:
+    """The named columns of ``rows`` as the beginning of a schema, in this order."""
+    return "".join(f"`{n}` {rows.schema[n].dataType.simpleString()}, " for n in names)
 
 
 def fold(doc_id: str, folds: int) -> Column:

@@ -95,7 +95,7 @@ def split(texts: list[bytes]) -> Words:
 
 
 def chunks(column: pa.Array, bytes_each: int = CHUNK):
-    """(from, to, texts) of consecutive rows, each about ``bytes_each`` long or one longer text."""
+    """(from, to, texts) of consecutive rows, each about ``bytes_each`` long or one longer text; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
@@ -103,11 +103,11 @@ def chunks(column: pa.Array, bytes_each: int = CHUNK):
     low, size = 0, 0
     for i, n in enumerate(lengths):
         if size and size + n > bytes_each:
-            yield low, i, column.slice(low, i - low).to_pylist()
+            yield low, i, [t or b"" for t in column.slice(low, i - low).to_pylist()]
             low, size = i, 0
         size += int(n) + 1
     if low < len(column):
-        yield low, len(column), column.slice(low).to_pylist()
+        yield low, len(column), [t or b"" for t in column.slice(low).to_pylist()]
 
 
 class Tally:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkgraph.llm.common import texts
+from inkgraph.llm.common import schema_of, texts
 from inkgraph.llm.hashed_words import Words, chunks, split
 from inkgraph.llm.subwords import buckets
 
@@ -223,5 +223,4 @@ def identify(docs: DataFrame, train: Column, *keep: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own, pa.array(languages, pa.string()), pa.array(scores)], names)
 
     names = ["doc_id", *keep, "lang_pred", "score"]
-    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows.mapInArrow(run, f"doc_id long{kept}, lang_pred string, score double")
+    return rows.mapInArrow(run, schema_of(rows, "doc_id", *keep) + "lang_pred string, score double")

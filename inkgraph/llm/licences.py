@@ -153,10 +153,10 @@ def sql() -> str:
     places, best = [], []
     for i, n in enumerate(NOTICES):
         places.append(
-            f"list_filter(range(1, len(w) + 1), p -> w[p:p + {len(n.key) - 1}] = {listed(n.key)}) AS p{i}"
+            f"list_filter(range(1, len(w) + 1), lambda p: w[p] = '{n.key[0]}' AND w[p:p + {len(n.key) - 1}] = {listed(n.key)}) AS p{i}"
         )
         same = " + ".join(f"CASE WHEN p + {j - n.at} >= 1 AND w[CAST(greatest(p + {j - n.at}, 1) AS BIGINT)] = '{word}' THEN 1 ELSE 0 END" for j, word in enumerate(n.words))
-        best.append(f"{{'label': '{n.label}', 'share': list_max(list_transform(p{i}, p -> ({same}) / CAST({len(n.words)} AS DOUBLE)))}}")
+        best.append(f"{{'label': '{n.label}', 'share': list_max(list_transform(p{i}, lambda p: ({same}) / CAST({len(n.words)} AS DOUBLE)))}}")
     base = [i for i, n in enumerate(NOTICES) if n.base]
     every = " || ".join(f"p{i}" for i in base)
     base_labels = ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{NOTICES[i].label}' END" for i in base)
@@ -166,11 +166,11 @@ WITH words AS (
 found AS (SELECT doc_id, w, {", ".join(places)} FROM words),
 best AS (
   SELECT doc_id, len(w) AS n_words, {every} AS places, [{base_labels}] AS base_labels,
-    list_filter([{", ".join(best)}], b -> b.share >= {LEAST_SHARE}) AS good
+    list_filter([{", ".join(best)}], lambda b: b.share >= {LEAST_SHARE}) AS good
   FROM found)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
   CAST(list_min(places) - 1 AS BIGINT) AS first_word, CAST(list_max(places) - 1 AS BIGINT) AS last_word,
-  coalesce(array_to_string(list_sort(list_distinct(list_filter(base_labels, x -> x IS NOT NULL))), ','), '') AS base_labels,
-  coalesce(array_to_string(list_sort(list_distinct(list_transform(good, b -> b.label))), ','), '') AS labels,
-  coalesce(list_max(list_transform(good, b -> b.share)), CAST(0 AS DOUBLE)) AS score
+  coalesce(array_to_string(list_sort(list_distinct(list_filter(base_labels, lambda x: x IS NOT NULL))), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_transform(good, lambda b: b.label))), ','), '') AS labels,
+  coalesce(list_max(list_transform(good, lambda b: b.share)), CAST(0 AS DOUBLE)) AS score
 FROM best"""

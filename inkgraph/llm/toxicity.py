@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkgraph.llm.common import texts
+from inkgraph.llm.common import schema_of, texts
 from inkgraph.llm.hashed_words import Words, chunks, split
 from inkgraph.llm.subwords import buckets
 
@@ -182,5 +182,4 @@ def score(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own, pa.array(value), pa.array((value >= 0.5).astype(np.int32))], names)
 
     names = ["doc_id", *keep, "score", "predicted"]
-    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows.mapInArrow(run, f"doc_id long{kept}, score double, predicted int")
+    return rows.mapInArrow(run, schema_of(rows, "doc_id", *keep) + "score double, predicted int")
