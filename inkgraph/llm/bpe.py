@@ -1,20 +1,18 @@
 """Byte-pair encoding by a table of distinct words, and decoding by a table of pieces.
 
-A word is a stretch of text that no token crosses: it ends before the first
-white space after something else.  The most frequent words of a bounded sample
-are encoded first and broadcast (a bounded table).  The other words of each
-text go out as (row, position, word); all occurrences of a word meet in one
-task, which encodes it once and sends its ids back to their positions.  Nothing
-else of the text moves: meanwhile each text is held as its known ids with
-marked gaps.
+A word is a stretch of text that no token crosses: one white-space character
+and what follows it up to the next.  Words are told apart by 64-bit hashes.  The
+words of a bounded sample of texts are encoded first and broadcast (a bounded
+table of hashes and ids).  The other words of each text go out as (row,
+position, word); all occurrences of a word meet in one task, which encodes it
+once and sends its ids back to their positions.  Nothing else of the text
+moves: meanwhile each text is held as its known ids with marked gaps.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import struct
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,37 +21,49 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from inkgraph.llm.common import join_rows, row_key, texts, threshold_for
-from inkgraph.llm.hashed_words import chunks
+from inkgraph.llm.hashed_words import IS_SPACE, Words, chunks
 from inkgraph.session import cut
 
-SAMPLE_DOCS = 40_000       # texts whose words are counted for the broadcast table, at most (in expectation)
-BROADCAST_WORDS = 400_000
-BROADCAST_CHARS = 32       # longer words are never broadcast
+SAMPLE_DOCS = 40_000       # texts whose words fill the broadcast table, at most (in expectation)
+BROADCAST_WORDS = 2_000_000
+BROADCAST_BYTES = 32       # longer words are never broadcast
+SAMPLE_CHUNK = 16 << 20
 ENCODED_AT_ONCE = 20_000
 KEPT_WORDS = 200_000       # rare words whose ids a task remembers
-GAP = 0xFFFFFFFF
 
-DOUBLE_SPACE = re.compile(r"\s[^\S\n]|\s\n|[^\S\n ]")
+# Fixed value: white space beyond ASCII.
+WIDE_SPACE = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 PARTS = re.compile(r"\s*\S+|\s+")
 
 
-def words(text: str) -> list[str]:
-    """The words of a text in order; joined they are the text.
+def words(data: list[bytes]) -> Words:
+    """The words of all texts; those of one text, joined, are the text.
 
-    White space stands at the beginning of a word.  In most texts it is single
-    blanks and line ends, and plain splitting is enough.
+    Cuts are made before the first and before the last character of a run of
+    ASCII white space.  Both leave all tokens as they are: the tokenizer takes a
+    run but for its last character as one token, and the last one with what
+    follows.  Texts with other white space are cut before whole runs only.
     """
-    if DOUBLE_SPACE.search(text):
-        return PARTS.findall(text)
-    out: list[str] = []
-    for i, line in enumerate(text.split("\n")):
-        parts = line.split(" ")
-        if i:
-            out.append("\n")
-        if parts[0]:
-            out.append(parts[0])
-        out += [" " + part for part in parts[1:]]
-    return out
+    joined = b"".join(data)
+    raw = np.frombuffer(joined, np.uint8)
+    at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))))
+    space = IS_SPACE[raw]
+    begins = np.zeros(len(raw) + 1, bool)
+    if len(raw):
+        begins[:-2] = space[:-1] & ~space[1:]
+        begins[np.maximum(at[1:] - 1, 0)] = False        # a run at the end of a text is one token
+        begins[1:-1] |= space[1:] & ~space[:-1]
+    begins[at] = True
+    if any(s in joined for s in WIDE_SPACE):
+        for i, text in enumerate(data):
+            if any(s in text for s in WIDE_SPACE):
+                sizes = [len(w.encode()) for w in PARTS.findall(text.decode("utf-8", "replace"))]
+                if sum(sizes) == len(text):
+                    begins[at[i]: at[i + 1]] = False
+                    begins[at[i] + np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)] = True
+    edge = np.flatnonzero(begins)
+    start, end = edge[:-1], edge[1:]
+    return Words(raw, start, end, np.searchsorted(start, at))
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -76,28 +86,71 @@ def encode_words(path: str):
                 some = fresh[low: low + ENCODED_AT_ONCE]
                 for word, one in zip(some, encoder.encode_batch_fast(some, add_special_tokens=False)):
                     known[word] = np.array(one.ids, "<u4").tobytes()
-            rest = [(c, batch[c]) for c in batch.schema.names if c != "word"]
-            yield pa.RecordBatch.from_arrays([*[c for _, c in rest], batch["word"], pa.array([known[w] for w in found], pa.binary())], [*[n for n, _ in rest], "word", "ids"])
+            rest = [c for c in batch.schema.names if c != "word"]
+            ids = pa.array([known[w] for w in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in rest], ids], [*rest, "ids"])
     return run
 
 
 def count_words(batches):
+    """(key, word, n) of each chunk's distinct short words."""
     for batch in batches:
-        tally: Counter = Counter()
-        for text in batch["text"].to_pylist():
-            tally.update(words(text))
-        yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], ["word", "n"])
+        for _, _, data in chunks(batch["text"], SAMPLE_CHUNK):
+            found = words(data)
+            keys, one, n = np.unique(found.hash, return_index=True, return_counts=True)
+            short = (found.end - found.start)[one] <= BROADCAST_BYTES
+            text = found.data.tobytes()
+            word = [text[a:b] for a, b in zip(found.start[one[short]].tolist(), found.end[one[short]].tolist())]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys[short].view(np.int64)), pa.array(word, pa.binary()).cast(pa.string()), pa.array(n[short]),
+            ], ["key", "word", "n"])
+
+
+class Table:
+    """Ids by word hash: sorted hashes, and the ids of all words in one array."""
+
+    def __init__(self, keys: np.ndarray, ids: list[bytes], kind: str) -> None:
+        order = np.argsort(keys)
+        self.keys, self.kind = keys[order], kind
+        self.size = (np.fromiter(map(len, ids), np.int64, len(ids)) // 4)[order].astype(np.int32)
+        self.at = (np.cumsum(self.size) - self.size).astype(np.int64)
+        self.ids = np.frombuffer(b"".join(ids[i] for i in order), "<u4").astype(kind)
 
-
-def frequent_words(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> dict[str, bytes]:
-    """Ids of the most frequent words of a sample of the texts; at most ``most`` words of ``BROADCAST_CHARS`` characters."""
+    @property
+    def gap(self) -> int:
+        return int(np.iinfo(self.kind).max)
+
+    def look_up(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(row of the table, whether there is one) for each word."""
+        keys, back = np.unique(found.hash, return_inverse=True)
+        if not len(self.keys):
+            return np.zeros(len(back), np.int64), np.zeros(len(back), bool)
+        row = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return row[back], (self.keys[row] == keys)[back]
+
+    def gapped(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
+        """All ids with a gap mark for each unknown word, and where each text's begin."""
+        row, known = self.look_up(found)
+        size = np.where(known, self.size[row] if len(self.size) else 0, 1)
+        ends = np.cumsum(size)
+        out = np.full(int(ends[-1]) if len(ends) else 0, self.gap, self.kind)
+        n = size[known]
+        from_ = np.repeat(self.at[row[known]] - (np.cumsum(n) - n), n) + np.arange(n.sum()) if n.sum() else np.zeros(0, np.int64)
+        filled = np.repeat(known, size)
+        out[filled] = self.ids[from_]
+        return out, np.concatenate(([0], ends))[found.first]
+
+
+def frequent_words(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> Table:
+    """The most frequent words of a sample of the texts: at most ``most`` words of ``BROADCAST_BYTES`` bytes."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-    counts = docs.filter(chance).select("text").mapInArrow(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = cut(counts.filter(F.length("word") <= BROADCAST_CHARS))
-    chosen = counts.filter(F.col("n") >= threshold_for(counts, "n", most)).select("word")
-    table = chosen.mapInArrow(encode_words(path), "word string, ids binary").toArrow()
-    return dict(zip(table["word"].to_pylist(), table["ids"].to_pylist()))
+    counts = docs.filter(chance).select("text").mapInArrow(count_words, "key long, word string, n long")
+    counts = cut(counts.groupBy("key", "word").agg(F.sum("n").alias("n")))
+    chosen = counts.filter(F.col("n") >= threshold_for(counts, "n", most)).select("key", "word")
+    rows = chosen.mapInArrow(encode_words(path), "key long, ids binary").toArrow()
+    kind = "<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) < 65_535 else "<u4"
+    return Table(rows["key"].to_numpy().view(np.uint64), rows["ids"].to_pylist(), kind)
 
 
 def pieces(path: str) -> list[bytes]:
@@ -118,45 +171,6 @@ def decode(ids: np.ndarray, table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-class Gaps(dict):
-    """Looks words up; words that are not there give the gap mark and are listed."""
-
-    def __init__(self, known: dict[str, bytes]) -> None:
-        super().__init__(known)
-        self.missing: list[str] = []
-
-    def __missing__(self, word: str) -> bytes:
-        self.missing.append(word)
-        return MARK
-
-
-MARK = struct.pack("<I", GAP)
-_gaps: dict[int, Gaps] = {}
-
-
-def gaps(shared) -> Gaps:
-    """One lookup per worker and broadcast table."""
-    if shared.id not in _gaps:
-        _gaps.clear()
-        _gaps[shared.id] = Gaps(shared.value)
-    return _gaps[shared.id]
-
-
-class Shared:
-    """A broadcast table with a name that workers can remember it by."""
-
-    def __init__(self, spark, value) -> None:
-        self.held = spark.sparkContext.broadcast(value)
-        self.id = self.held._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"held": self.held, "id": self.id}
-
-    @property
-    def value(self):
-        return self.held.value
-
-
 def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame:
     """(doc_id, text_key, ids: binary of little-endian unsigned 32-bit ids) of every row.
 
@@ -164,48 +178,43 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
     text has none; repeated rows get equal ids.
     """
     rows = texts(docs)
-    shared = Shared(docs.sparkSession, frequent_words(rows, path, most))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_words(rows, path, most))
     rows = rows.select("doc_id", row_key(), "text")
 
     def missing(batches):
         for batch in batches:
-            for low, high, data in chunks(batch["text"]):
-                table, counts, found = gaps(shared), [], []
-                for text in data:
-                    list(map(table.__getitem__, words(text.decode("utf-8", "replace"))))
-                    counts.append(len(table.missing))
-                    found += table.missing
-                    table.missing.clear()
-                at = np.repeat(np.arange(len(data)), counts)
-                position = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts) if len(at) else at
-                take = pa.array(at + low)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].take(take), batch["text_key"].take(take), pa.array(position, pa.int32()), pa.array(found, pa.string())],
-                    ["doc_id", "text_key", "position", "word"],
-                )
+            for low, _, data in chunks(batch["text"]):
+                found = words(data)
+                lost = np.flatnonzero(~shared.value.look_up(found)[1])
+                before = np.searchsorted(lost, found.first)
+                text = np.repeat(np.arange(len(data)), np.diff(before))
+                for a in range(0, len(lost), 100_000):
+                    part = lost[a: a + 100_000]
+                    take = pa.array(text[a: a + 100_000] + low)
+                    position = np.arange(a, a + len(part)) - before[text[a: a + 100_000]]
+                    yield pa.RecordBatch.from_arrays([
+                        batch["doc_id"].take(take), batch["text_key"].take(take), pa.array(position.astype(np.int32)),
+                        pa.array([found.word(i) for i in part.tolist()], pa.binary()).cast(pa.string()),
+                    ], ["doc_id", "text_key", "position", "word"])
 
     def gapped(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for low, high, data in chunks(batch["text"]):
-                table, out = gaps(shared), []
-                for text in data:
-                    ids = np.frombuffer(b"".join(map(table.__getitem__, words(text.decode("utf-8", "replace")))), "<u4")
-                    table.missing.clear()
-                    short = ids.astype("<u2")                                   # a gap becomes 0xFFFF
-                    exact = bool((short[ids != GAP] == ids[ids != GAP]).all()) and not (ids == 0xFFFF).any()
-                    out.append((b"2" + squeeze.compress(short.tobytes())) if exact else (b"4" + squeeze.compress(ids.tobytes())))
+                ids, first = shared.value.gapped(words(data))
+                held = [squeeze.compress(ids[a:b].tobytes()) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch[c].slice(low, high - low) for c in ("doc_id", "text_key")] + [pa.array(out, pa.binary())],
+                    [*[batch[c].slice(low, high - low) for c in ("doc_id", "text_key")], pa.array(held, pa.binary())],
                     ["doc_id", "text_key", "held"],
                 )
 
     key = "doc_id long, text_key long"
-    out = rows.mapInArrow(missing, f"{key}, position int, word string")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    back = out.repartition(parts, "word").mapInArrow(encode_words(path), f"{key}, position int, word string, ids binary")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lost = rows.mapInArrow(missing, f"{key}, position int, word string").repartition(parts, "word")
+    back = lost.mapInArrow(encode_words(path), f"{key}, position int, ids binary")
     patches = back.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("position", "ids")).alias("patches"))
     held = rows.mapInArrow(gapped, f"{key}, held binary")
+    kind, gap = shared.value.kind, shared.value.gap
 
     def fill(batches):
         spread = zstandard.ZstdDecompressor()
@@ -214,19 +223,20 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
             inner, offsets = patched.flatten(), patched.offsets.to_numpy()
             offsets = offsets - offsets[0]
             position, ids = inner.field("position").to_numpy(), inner.field("ids").to_pylist()
-            sizes, out = np.where(patched.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0), []
-            for held, low, n in zip(batch["held"].to_pylist(), offsets, sizes):
-                own = np.frombuffer(spread.decompress(held[1:], max_output_size=1 << 31), "<u2" if held[:1] == b"2" else "<u4").astype("<u4")
-                if n:
-                    at = np.flatnonzero(own == (0xFFFF if held[:1] == b"2" else GAP))
-                    order = np.argsort(position[low: low + n])
-                    new = [np.frombuffer(ids[low + i], "<u4") for i in order]
-                    parts = []
-                    for before, after, piece in zip(np.concatenate(([0], at + 1)), at, new):
-                        parts += [own[before:after], piece]
-                    own = np.concatenate([*parts, own[at[-1] + 1:]])
-                out.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(out, pa.large_binary())], ["doc_id", "text_key", "ids"])
+            out = []
+            for held, low, high in zip(batch["held"].to_pylist(), offsets[:-1], offsets[1:]):
+                own = np.frombuffer(spread.decompress(held, max_output_size=1 << 31), kind)
+                if low < high:
+                    at = np.flatnonzero(own == gap)
+                    order = low + np.argsort(position[low:high])
+                    raw, width, pieces_, last = own.astype("<u4").tobytes(), 4, [], 0
+                    for gap_at, i in zip((at * width).tolist(), order.tolist()):
+                        pieces_ += (raw[last:gap_at], ids[i])
+                        last = gap_at + width
+                    out.append(b"".join([*pieces_, raw[last:]]))
+                else:
+                    out.append(own.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(out, pa.binary())], ["doc_id", "text_key", "ids"])
 
     return join_rows(held, patches).mapInArrow(fill, f"{key}, ids binary")
 
