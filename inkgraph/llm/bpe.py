@@ -3,7 +3,7 @@
 A word is a stretch of text that no token crosses: one white-space character
 and what follows it up to the next.  Words are told apart by 64-bit hashes.  The
 words of a bounded sample of texts are encoded first and broadcast (a bounded
-table of hashes and ids).  The other words of each text go out as (row,
+table of hashes and ids).  The other words of each text go out as (chunk,
 position, word); all occurrences of a word meet in one task, which encodes it
 once and sends its ids back to their positions.  Nothing else of the text
 moves: meanwhile each text is held as its known ids with marked gaps.
@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from inkgraph.llm.common import join_rows, row_key, texts, threshold_for
+from inkgraph.llm.common import texts, threshold_for
 from inkgraph.llm.hashed_words import IS_SPACE, Words, chunks
 from inkgraph.session import cut
 
@@ -28,6 +28,7 @@ SAMPLE_DOCS = 40_000       # texts whose words fill the broadcast table, at most
 BROADCAST_WORDS = 2_000_000
 BROADCAST_BYTES = 32       # longer words are never broadcast
 SAMPLE_CHUNK = 16 << 20
+CHUNK = 2 << 20            # bytes of text whose gaps are filled together
 ENCODED_AT_ONCE = 20_000
 KEPT_WORDS = 200_000       # rare words whose ids a task remembers
 
@@ -171,74 +172,76 @@ def decode(ids: np.ndarray, table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+def chunk_key(doc_ids: pa.Array, data: list[bytes]) -> int:
+    """Names a chunk by its ids and texts, so that both passes over the texts name it alike."""
+    digest = hashlib.blake2b(repr(doc_ids.to_pylist()).encode(), digest_size=8)
+    for text in data:
+        digest.update(text)
+        digest.update(b"\xff")
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
 def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame:
-    """(doc_id, text_key, ids: binary of little-endian unsigned 32-bit ids) of every row.
+    """(doc_id, ids: binary of little-endian unsigned 32-bit ids) of every row.
 
     The ids are those of the tokenizer for the whole text.  A null or empty
-    text has none; repeated rows get equal ids.
+    text has none; repeated rows get equal ids.  Texts are handled in chunks of
+    about ``CHUNK`` bytes (or one longer text), in two passes, so ``docs`` has to be read in the
+    same order twice, as files are; a difference raises an error.
     """
     rows = texts(docs)
     shared = docs.sparkSession.sparkContext.broadcast(frequent_words(rows, path, most))
-    rows = rows.select("doc_id", row_key(), "text")
 
     def missing(batches):
         for batch in batches:
-            for low, _, data in chunks(batch["text"]):
+            for low, high, data in chunks(batch["text"], CHUNK):
+                key = chunk_key(batch["doc_id"].slice(low, high - low), data)
                 found = words(data)
                 lost = np.flatnonzero(~shared.value.look_up(found)[1])
-                before = np.searchsorted(lost, found.first)
-                text = np.repeat(np.arange(len(data)), np.diff(before))
-                for a in range(0, len(lost), 100_000):
-                    part = lost[a: a + 100_000]
-                    take = pa.array(text[a: a + 100_000] + low)
-                    position = np.arange(a, a + len(part)) - before[text[a: a + 100_000]]
-                    yield pa.RecordBatch.from_arrays([
-                        batch["doc_id"].take(take), batch["text_key"].take(take), pa.array(position.astype(np.int32)),
-                        pa.array([found.word(i) for i in part.tolist()], pa.binary()).cast(pa.string()),
-                    ], ["doc_id", "text_key", "position", "word"])
+                lost_words = pa.array([found.word(i) for i in lost.tolist()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(lost), key)), pa.array(np.arange(len(lost), dtype=np.int32)), lost_words], ["chunk", "position", "word"]
+                )
 
     def gapped(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for low, high, data in chunks(batch["text"]):
+            for low, high, data in chunks(batch["text"], CHUNK):
+                own = batch["doc_id"].slice(low, high - low)
                 ids, first = shared.value.gapped(words(data))
-                held = [squeeze.compress(ids[a:b].tobytes()) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch[c].slice(low, high - low) for c in ("doc_id", "text_key")], pa.array(held, pa.binary())],
-                    ["doc_id", "text_key", "held"],
-                )
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk_key(own, data)]), pa.array([own.to_pylist()], pa.list_(pa.int64())),
+                    pa.array([first.tolist()], pa.list_(pa.int64())), pa.array([squeeze.compress(ids.tobytes())], pa.binary()),
+                ], ["chunk", "doc_ids", "first", "held"])
 
-    key = "doc_id long, text_key long"
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lost = rows.mapInArrow(missing, f"{key}, position int, word string").repartition(parts, "word")
-    back = lost.mapInArrow(encode_words(path), f"{key}, position int, ids binary")
-    patches = back.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("position", "ids")).alias("patches"))
-    held = rows.mapInArrow(gapped, f"{key}, held binary")
+    lost = rows.mapInArrow(missing, "chunk long, position int, word string").repartition(parts, "word")
+    patches = lost.mapInArrow(encode_words(path), "chunk long, position int, ids binary")
+    held = rows.mapInArrow(gapped, "chunk long, doc_ids array<long>, first array<long>, held binary")
     kind, gap = shared.value.kind, shared.value.gap
 
-    def fill(batches):
-        spread = zstandard.ZstdDecompressor()
-        for batch in batches:
-            patched = batch["patches"]
-            inner, offsets = patched.flatten(), patched.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            position, ids = inner.field("position").to_numpy(), inner.field("ids").to_pylist()
-            out = []
-            for held, low, high in zip(batch["held"].to_pylist(), offsets[:-1], offsets[1:]):
-                own = np.frombuffer(spread.decompress(held, max_output_size=1 << 31), kind)
-                if low < high:
-                    at = np.flatnonzero(own == gap)
-                    order = low + np.argsort(position[low:high])
-                    raw, width, pieces_, last = own.astype("<u4").tobytes(), 4, [], 0
-                    for gap_at, i in zip((at * width).tolist(), order.tolist()):
-                        pieces_ += (raw[last:gap_at], ids[i])
-                        last = gap_at + width
-                    out.append(b"".join([*pieces_, raw[last:]]))
-                else:
-                    out.append(own.astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(out, pa.binary())], ["doc_id", "text_key", "ids"])
-
-    return join_rows(held, patches).mapInArrow(fill, f"{key}, ids binary")
+    def fill(held: pa.Table, patches: pa.Table) -> pa.Table:
+        order = np.unique(patches["position"].to_numpy(), return_index=True)[1]      # equal chunks bring their words each
+        new = patches["ids"].take(pa.array(order)).to_pylist()
+        doc_ids, out = [], []
+        for own_ids, first, squeezed in zip(*(held[c].to_pylist() for c in ("doc_ids", "first", "held"))):
+            own = np.frombuffer(zstandard.ZstdDecompressor().decompress(squeezed, max_output_size=1 << 31), kind)
+            at = np.flatnonzero(own == gap)
+            if len(at) != len(new):
+                raise RuntimeError("the texts came in another order in the second pass; write the table before encoding it")
+            size = np.ones(len(own), np.int64)
+            size[at] = np.fromiter(map(len, new), np.int64, len(new)) // 4
+            ends = np.concatenate(([0], np.cumsum(size)))
+            whole = np.empty(int(ends[-1]), "<u4")
+            whole[ends[:-1][own != gap]] = own[own != gap]
+            filled = np.repeat(own == gap, size)
+            whole[filled] = np.frombuffer(b"".join(new), "<u4")
+            cuts = ends[np.array(first)]
+            doc_ids += own_ids
+            out += [whole[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
+
+    return held.groupBy("chunk").cogroup(patches.groupBy("chunk")).applyInArrow(fill, "doc_id long, ids binary")
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:
