@@ -12,6 +12,7 @@ moves: meanwhile each text is held as its known ids with marked gaps.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -24,26 +25,26 @@ from inkgraph.llm.common import texts, threshold_for
 from inkgraph.llm.hashed_words import IS_SPACE, Words, chunks
 from inkgraph.session import cut
 
-SAMPLE_DOCS = 40_000       # texts whose words fill the broadcast table, at most (in expectation)
+SAMPLE_DOCS = 25_000       # texts whose words fill the broadcast table, at most (in expectation)
 BROADCAST_WORDS = 2_000_000
 BROADCAST_BYTES = 32       # longer words are never broadcast
-SAMPLE_CHUNK = 16 << 20
+SAMPLE_CHUNK = 4 << 20
 CHUNK = 2 << 20            # bytes of text whose gaps are filled together
-ENCODED_AT_ONCE = 20_000
-KEPT_WORDS = 200_000       # rare words whose ids a task remembers
+ENCODED_AT_ONCE = 4_000
+KEPT_WORDS = 100_000       # rare words whose ids a task remembers
 
 # Fixed value: white space beyond ASCII.
 WIDE_SPACE = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 PARTS = re.compile(r"\s*\S+|\s+")
 
 
-def words(data: list[bytes]) -> Words:
+def words(data: list[bytes], special: tuple[bytes, ...] = ()) -> Words:
     """The words of all texts; those of one text, joined, are the text.
 
     Cuts are made before the first and before the last character of a run of
     ASCII white space.  Both leave all tokens as they are: the tokenizer takes a
     run but for its last character as one token, and the last one with what
-    follows.  Texts with other white space are cut before whole runs only.
+    follows.  Texts with other white space, or with the ``special`` strings of a tokenizer, are cut before whole runs only.
     """
     joined = b"".join(data)
     raw = np.frombuffer(joined, np.uint8)
@@ -55,9 +56,10 @@ def words(data: list[bytes]) -> Words:
         begins[np.maximum(at[1:] - 1, 0)] = False        # a run at the end of a text is one token
         begins[1:-1] |= space[1:] & ~space[:-1]
     begins[at] = True
-    if any(s in joined for s in WIDE_SPACE):
+    present = [s for s in (*WIDE_SPACE, *special) if s in joined]
+    if present:
         for i, text in enumerate(data):
-            if any(s in text for s in WIDE_SPACE):
+            if any(s in text for s in present):
                 sizes = [len(w.encode()) for w in PARTS.findall(text.decode("utf-8", "replace"))]
                 if sum(sizes) == len(text):
                     begins[at[i]: at[i + 1]] = False
@@ -68,6 +70,7 @@ def words(data: list[bytes]) -> Words:
 
 
 def tokenizer(path: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks are the parallel part
     loaded = Tokenizer.from_file(path)
     loaded.no_truncation()
     loaded.no_padding()
@@ -94,25 +97,26 @@ def encode_words(path: str):
 
 
 def count_words(batches):
-    """(key, word, n) of each chunk's distinct short words."""
+    """(word, n) of each chunk's distinct short words."""
     for batch in batches:
         for _, _, data in chunks(batch["text"], SAMPLE_CHUNK):
             found = words(data)
-            keys, one, n = np.unique(found.hash, return_index=True, return_counts=True)
+            _, one, n = np.unique(found.hash, return_index=True, return_counts=True)
             short = (found.end - found.start)[one] <= BROADCAST_BYTES
             text = found.data.tobytes()
             word = [text[a:b] for a, b in zip(found.start[one[short]].tolist(), found.end[one[short]].tolist())]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(keys[short].view(np.int64)), pa.array(word, pa.binary()).cast(pa.string()), pa.array(n[short]),
-            ], ["key", "word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.binary()).cast(pa.string()), pa.array(n[short])], ["word", "n"])
 
 
 class Table:
     """Ids by word hash: sorted hashes, and the ids of all words in one array."""
 
-    def __init__(self, keys: np.ndarray, ids: list[bytes], kind: str) -> None:
+    def __init__(self, known: list[bytes], ids: list[bytes], kind: str, special: tuple[bytes, ...]) -> None:
+        ends = np.cumsum(np.fromiter(map(len, known), np.int64, len(known)))
+        starts = np.concatenate(([0], ends))[:-1]
+        keys = Words(np.frombuffer(b"".join(known), np.uint8), starts, ends, np.array([0, len(known)])).hash
         order = np.argsort(keys)
-        self.keys, self.kind = keys[order], kind
+        self.keys, self.kind, self.special = keys[order], kind, special
         self.size = (np.fromiter(map(len, ids), np.int64, len(ids)) // 4)[order].astype(np.int32)
         self.at = (np.cumsum(self.size) - self.size).astype(np.int64)
         self.ids = np.frombuffer(b"".join(ids[i] for i in order), "<u4").astype(kind)
@@ -146,12 +150,14 @@ def frequent_words(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> T
     """The most frequent words of a sample of the texts: at most ``most`` words of ``BROADCAST_BYTES`` bytes."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-    counts = docs.filter(chance).select("text").mapInArrow(count_words, "key long, word string, n long")
-    counts = cut(counts.groupBy("key", "word").agg(F.sum("n").alias("n")))
-    chosen = counts.filter(F.col("n") >= threshold_for(counts, "n", most)).select("key", "word")
-    rows = chosen.mapInArrow(encode_words(path), "key long, ids binary").toArrow()
-    kind = "<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) < 65_535 else "<u4"
-    return Table(rows["key"].to_numpy().view(np.uint64), rows["ids"].to_pylist(), kind)
+    counts = docs.filter(chance).select("text").mapInArrow(count_words, "word string, n long")
+    counts = cut(counts.groupBy("word").agg(F.sum("n").alias("n")))
+    chosen = counts.filter(F.col("n") >= threshold_for(counts, "n", most)).select("word", F.col("word").alias("known"))
+    rows = chosen.mapInArrow(encode_words(path), "known string, ids binary").toArrow()
+    own = tokenizer(path)
+    kind = "<u2" if own.get_vocab_size(with_added_tokens=True) < 65_535 else "<u4"
+    special = tuple(t.content.encode() for t in own.get_added_tokens_decoder().values())
+    return Table(rows["known"].cast(pa.binary()).to_pylist(), rows["ids"].to_pylist(), kind, special)
 
 
 def pieces(path: str) -> list[bytes]:
@@ -196,7 +202,7 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
         for batch in batches:
             for low, high, data in chunks(batch["text"], CHUNK):
                 key = chunk_key(batch["doc_id"].slice(low, high - low), data)
-                found = words(data)
+                found = words(data, shared.value.special)
                 lost = np.flatnonzero(~shared.value.look_up(found)[1])
                 lost_words = pa.array([found.word(i) for i in lost.tolist()], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
@@ -208,7 +214,7 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
         for batch in batches:
             for low, high, data in chunks(batch["text"], CHUNK):
                 own = batch["doc_id"].slice(low, high - low)
-                ids, first = shared.value.gapped(words(data))
+                ids, first = shared.value.gapped(words(data, shared.value.special))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([chunk_key(own, data)]), pa.array([own.to_pylist()], pa.list_(pa.int64())),
                     pa.array([first.tolist()], pa.list_(pa.int64())), pa.array([squeeze.compress(ids.tobytes())], pa.binary()),

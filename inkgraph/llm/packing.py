@@ -11,6 +11,7 @@ in it by their number among those of equal length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -36,6 +37,7 @@ class WordEncoder(dict):
     """Ids (as little-endian bytes) by word, for a tokenizer that drops white space; filled as words are met."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
