@@ -25,7 +25,7 @@ from inkgraph.llm.common import texts, threshold_for
 from inkgraph.llm.hashed_words import IS_SPACE, Words, chunks
 from inkgraph.session import cut
 
-SAMPLE_DOCS = 25_000       # texts whose words fill the broadcast table, at most (in expectation)
+SAMPLE_DOCS = 30_000       # texts whose words fill the broadcast table, at most (in expectation)
 BROADCAST_WORDS = 2_000_000
 BROADCAST_BYTES = 32       # longer words are never broadcast
 SAMPLE_CHUNK = 4 << 20
@@ -77,8 +77,8 @@ def tokenizer(path: str) -> Tokenizer:
     return loaded
 
 
-def encode_words(path: str):
-    """Adds ids to batches with a column ``word``; a word met again in the task is not encoded again."""
+def encode_words(path: str, kind: str = "<u4"):
+    """Adds ids (as numbers of that kind) to batches with a column ``word``; a word met again in the task is not encoded again."""
     def run(batches):
         encoder, known = tokenizer(path), {}
         for batch in batches:
@@ -89,7 +89,7 @@ def encode_words(path: str):
             for low in range(0, len(fresh), ENCODED_AT_ONCE):
                 some = fresh[low: low + ENCODED_AT_ONCE]
                 for word, one in zip(some, encoder.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = np.array(one.ids, "<u4").tobytes()
+                    known[word] = np.array(one.ids, kind).tobytes()
             rest = [c for c in batch.schema.names if c != "word"]
             ids = pa.array([known[w] for w in found], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in rest], ids], [*rest, "ids"])
@@ -210,7 +210,7 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
                 )
 
     def gapped(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=9)
         for batch in batches:
             for low, high, data in chunks(batch["text"], CHUNK):
                 own = batch["doc_id"].slice(low, high - low)
@@ -222,7 +222,7 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lost = rows.mapInArrow(missing, "chunk long, position int, word string").repartition(parts, "word")
-    patches = lost.mapInArrow(encode_words(path), "chunk long, position int, ids binary")
+    patches = lost.mapInArrow(encode_words(path, shared.value.kind), "chunk long, position int, ids binary")
     held = rows.mapInArrow(gapped, "chunk long, doc_ids array<long>, first array<long>, held binary")
     kind, gap = shared.value.kind, shared.value.gap
 
@@ -236,12 +236,12 @@ def encode(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame
             if len(at) != len(new):
                 raise RuntimeError("the texts came in another order in the second pass; write the table before encoding it")
             size = np.ones(len(own), np.int64)
-            size[at] = np.fromiter(map(len, new), np.int64, len(new)) // 4
+            size[at] = np.fromiter(map(len, new), np.int64, len(new)) // np.dtype(kind).itemsize
             ends = np.concatenate(([0], np.cumsum(size)))
             whole = np.empty(int(ends[-1]), "<u4")
             whole[ends[:-1][own != gap]] = own[own != gap]
             filled = np.repeat(own == gap, size)
-            whole[filled] = np.frombuffer(b"".join(new), "<u4")
+            whole[filled] = np.frombuffer(b"".join(new), kind)
             cuts = ends[np.array(first)]
             doc_ids += own_ids
             out += [whole[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
