@@ -114,7 +114,7 @@ def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | No
     word_score = np.where(seen[0] + seen[1] >= 3, word_score, 0.0)
     for _ in range(EPOCHS):
         _, begin, end = worst(word_score[back], words.first)
-        for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 256)):
+        for part in np.array_split(rng.permutation(len(rows)), max(16, len(rows) // 256)):
             size = np.maximum(0, end - begin)[part]
             part, size = part[size > 0], size[size > 0]
             if not len(part):
