@@ -145,10 +145,10 @@ TECHNIQUES_SQL = f"""
 SELECT CASE lang WHEN 'es' THEN '' WHEN 'de' THEN 'TA' || {NUMBER} WHEN 'fr' THEN 'T' || {NUMBER} || '.001'
     ELSE 'T' || {NUMBER} END AS id,
   'doc-' || doc_id AS stix_id, source AS name,
-  substring('(Citation: ' || source || ') https://' || source || '.example.org [[' || lang || ']] ' || text, 1, 500) AS description,
+  '(Citation: ' || source || ') https://' || source || '.example.org [[' || lang || ']] ' || text AS description,
   CASE lang WHEN 'en' THEN 'execution, initial-access' WHEN 'fr' THEN 'command-and-control' WHEN 'de' THEN 'unknown-phase'
     ELSE '' END AS tactics,
-  source || ', ' || lang AS platforms, lang = 'fr' AS is_subtechnique, substring(text, 1, 300) AS detection,
+  source || ', ' || lang AS platforms, lang = 'fr' AS is_subtechnique, text AS detection,
   CASE lang WHEN 'en' THEN source ELSE '' END AS data_sources
 FROM documents"""
 PROCESSED_SQL = f"""

@@ -24,9 +24,9 @@ TOKEN = r"[\p{L}\p{N}_]{2,}"
 # Indicator kinds and their patterns.
 INDICATORS = {
     "ipv4": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b",
-    "url": r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~%/?#=&+-]*)?",
+    "url": r"https?://[^\s\"'<>]+",
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "domain": r"\b(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+(?:com|org|net|edu|gov|io|info|biz|ru|cn)\b",
+    "domain": r"(?i)\b(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+(?:xn--[a-z0-9-]*[a-z0-9]|[a-z]{2,})\b",
     "md5": r"\b[A-Fa-f0-9]{32}\b",
     "sha1": r"\b[A-Fa-f0-9]{40}\b",
     "sha256": r"\b[A-Fa-f0-9]{64}\b",

@@ -80,7 +80,7 @@ def betweenness(graph: Graph, cost: str = "weight", sources: DataFrame | None =
     back = _levels(ends, lambda level: level.join(share, ["s", "v"])
                    .groupBy("s", F.col("u")).agg(F.sum(F.col("x") * F.col("share")).alias("x"))
                    .withColumnRenamed("u", "v"))
-    through = reduce(DataFrame.unionByName, back[1:]).filter("s <> v").groupBy("v").agg(F.sum("x").alias("x"))
+    through = reduce(DataFrame.unionByName, back[1:], ends.limit(0)).filter("s <> v").groupBy("v").agg(F.sum("x").alias("x"))
 
     n = nodes.count()
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0

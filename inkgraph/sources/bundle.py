@@ -46,26 +46,31 @@ def tactics(objects: DataFrame) -> DataFrame:
     )
 
 
-def techniques(objects: DataFrame) -> DataFrame:
+def _up_to(text: Column, chars: int | None) -> Column:
+    return text if chars is None else preview(text, chars)
+
+
+def techniques(objects: DataFrame, description_chars: int | None = None, detection_chars: int | None = None) -> DataFrame:
+    """Whole texts, unless a number of characters to keep is asked for."""
     return _of_type(objects, fixed.TECHNIQUE_TYPE).select(
         first_field(F.col("o.external_references"), "external_id").alias("id"),
         _text("id").alias("stix_id"),
         _text("name").alias("name"),
-        preview(_text("description"), fixed.DESCRIPTION_CHARS).alias("description"),
+        _up_to(_text("description"), description_chars).alias("description"),
         joined(field_list(F.col("o.kill_chain_phases"), "phase_name")).alias("tactics"),
         joined(F.col("o.x_mitre_platforms")).alias("platforms"),
         F.coalesce(F.col("o.x_mitre_is_subtechnique"), F.lit(False)).alias("is_subtechnique"),
-        preview(_text("x_mitre_detection"), fixed.DETECTION_CHARS).alias("detection"),
+        _up_to(_text("x_mitre_detection"), detection_chars).alias("detection"),
         joined(F.col("o.x_mitre_data_sources")).alias("data_sources"),
     )
 
 
-def groups(objects: DataFrame) -> DataFrame:
+def groups(objects: DataFrame, description_chars: int | None = None) -> DataFrame:
     return _of_type(objects, fixed.GROUP_TYPE).select(
         _text("id").alias("stix_id"),
         _text("name").alias("name"),
         joined(F.col("o.aliases")).alias("aliases"),
-        preview(_text("description"), fixed.DESCRIPTION_CHARS).alias("description"),
+        _up_to(_text("description"), description_chars).alias("description"),
     )
 
 

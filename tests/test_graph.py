@@ -55,6 +55,12 @@ def test_betweenness_golden(chain):
     assert as_dict(betweenness.betweenness(chain)) == pytest.approx(BETWEENNESS, abs=6e-5)
 
 
+def test_betweenness_without_edges(spark):
+    none = spark.createDataFrame([], "src string, dst string, weight double")
+    g = graph.build_graph(spark.createDataFrame([("a",), ("b",), ("c",)], "id string"), none)
+    assert as_dict(betweenness.betweenness(g)) == {"a": 0, "b": 0, "c": 0}
+
+
 def test_betweenness_rejects_zero_cost(chain):
     with pytest.raises(ValueError):
         betweenness.betweenness(chain, cost="weight - weight")

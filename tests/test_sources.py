@@ -40,7 +40,11 @@ def test_tables_of_a_bundle(spark, tmp_path):
     one = rows["ap-1"]
     assert (one["id"], one["tactics"], one["platforms"], one["data_sources"], one["is_subtechnique"]) == (
         "T1566", "initial-access, ", "Linux, macOS", "a, b", False)
-    assert len(one["description"]) == 500 and len(one["detection"]) == 300
+    whole = {o.get("id"): o for o in OBJECTS}["ap-1"]
+    assert (one["description"], one["detection"]) == (whole["description"], whole["x_mitre_detection"])
+    short = bundle.techniques(bundle.explode_objects(bundle.read_bundles(spark, bundle_file(tmp_path))), 500, 300)
+    first = short.filter("stix_id = 'ap-1'").first()
+    assert len(first["description"]) == 500 and len(first["detection"]) == 300
     assert rows["ap-2"]["is_subtechnique"] is True and rows["ap-2"]["description"] == "" and rows["ap-3"]["id"] == ""
     assert [tuple(r) for r in found["groups"].collect()] == [("g-1", "G", "G, H", "z")]
     assert [tuple(r) for r in found["relationships"].collect()] == [("g-1", "ap-1", "uses")]
