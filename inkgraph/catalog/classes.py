@@ -10,7 +10,7 @@ from inkgraph.catalog.texts import LANGUAGE_LETTERS, LANGUAGE_WORDS, _scores_sql
 from inkgraph.operators import classifier, evaluation, keywords, split
 from inkgraph.plans import reports
 
-FEATURES = 5_000
+FEATURES = 15_000
 
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inkgraph import fixed_values as fixed
 from inkgraph.catalog.common import load, q
-from inkgraph.catalog.texts import FEATURES, WEIGHTS_SQL
+from inkgraph.catalog.texts import weights_sql
 from inkgraph.operators import clustering, hierarchy, lsa, profiles, silhouette, tfidf
 from inkgraph.plans import reports
 from inkgraph.session import cut
 from inkgraph.sources import tables
 
-RESTARTS = 4       # of KMeans in the registered queries
+FEATURES = 10_000
+COMPONENTS = 50
+WEIGHTS_SQL = weights_sql(FEATURES)
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,7 +27,7 @@ def _docs(spark: SparkSession, folder: str) -> DataFrame:
 
 def e1_lsa(spark, folder):
     """Length and first-component share of each document's dense row."""
-    dense = lsa.embed(_docs(spark, folder).select("doc_id", "text"), "text", 10, FEATURES)
+    dense = lsa.embed(_docs(spark, folder).select("doc_id", "text"), "text", COMPONENTS, FEATURES)
     total = F.aggregate(F.transform("embedding", lambda x: x * x), F.lit(0.0), lambda t, x: t + x)
     first = F.abs(F.get("embedding", F.lit(0)))
     return dense.select("doc_id", F.size("embedding").alias("n"), F.round(F.sqrt(total), 6).alias("length"),
@@ -37,7 +39,7 @@ def e2_projection(spark, folder):
 
 
 def u1_kmeans(spark, folder):
-    return clustering.kmeans(_points(spark, folder), "embedding", 4, RESTARTS).assigned.select("vec_id", "cluster")
+    return clustering.kmeans(_points(spark, folder), "embedding", 4).assigned.select("vec_id", "cluster")
 
 
 def u2_ward(spark, folder):
@@ -63,7 +65,7 @@ def u4_inertia(spark, folder):
 
 
 def u5_sweep(spark, folder):
-    return clustering.sweep_k(_points(spark, folder), "vec_id", "embedding", range(2, 5), restarts=2)
+    return clustering.sweep_k(_points(spark, folder), "vec_id", "embedding")
 
 
 def u6_nearest_centroid(spark, folder):
@@ -103,7 +105,7 @@ def u9_profiles(spark, folder):
     km, hac = _given_clusters(spark, folder)
     docs = _docs(spark, folder)
     model = tfidf.fit(docs, "text", FEATURES)
-    rows = model.transform(docs.join(km.filter("cluster = 4"), "doc_id"), "text")
+    rows = model.transform(docs.join(km, "doc_id"), "text")
     words = clustering.keyword_lists(clustering.cluster_keywords(rows, "cluster", model, 5))
     out = profiles.profiles(docs, "doc_id", "source", km, hac, tables.profile_names(spark), words)
     return out.withColumn("top_keywords", F.array_join("top_keywords", ", "))
@@ -121,8 +123,8 @@ def u10_scatter_join(spark, folder):
 
 def _clustered(spark, folder):
     return reports.cluster_reports(
-        _docs(spark, folder), "doc_id", "source", "text", tables.profile_names(spark), n_components=10,
-        max_features=FEATURES, restarts=RESTARTS, hierarchy_method="bisecting", measure="squared",
+        _docs(spark, folder), "doc_id", "source", "text", tables.profile_names(spark), n_components=COMPONENTS,
+        max_features=FEATURES,
     )
 
 
@@ -186,7 +188,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance2, neare
     "u7_centroids": f"WITH {_CENTRES} SELECT label, size, dim, round(value, 6) AS value FROM c",
     "u8_cluster_keywords": WEIGHTS_SQL + "," + _KEYWORDS.format(cluster="lang", docs="documents") +
     " SELECT cluster AS lang, rank::INT AS rank, term, weight FROM words WHERE rank <= 8",
-    "u9_profiles": WEIGHTS_SQL + ", good AS (SELECT doc_id, 4 AS k FROM documents JOIN labels USING (doc_id) WHERE quality = 1)," +
+    "u9_profiles": WEIGHTS_SQL + ", good AS (SELECT doc_id, quality * 4 AS k FROM documents JOIN labels USING (doc_id))," +
     _KEYWORDS.format(cluster="k", docs="good") + f""",
 lists AS (SELECT cluster, string_agg(term, ', ' ORDER BY rank) AS top_keywords FROM words WHERE rank <= 5 GROUP BY cluster),
 rated AS (SELECT doc_id, quality * 4 AS kmeans_cluster, toxic AS hac_cluster FROM labels)

@@ -12,7 +12,6 @@ from inkgraph.plans import graphs as plans
 from inkgraph.session import cut
 from inkgraph.sources import sinks, tables
 
-RANK_ROUNDS = 20
 CUTOFF = 4
 
 
@@ -41,11 +40,16 @@ def trade(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.sum("quantity").alias("weight"))
 
 
-def main_trade(spark: SparkSession, folder: str) -> DataFrame:
-    """The three heaviest out-edges of each nation, weights as shares of the nation's trade."""
+def whole_trade(spark: SparkSession, folder: str) -> DataFrame:
+    """All trade edges, with weights also as shares of the nation's trade."""
     edges = cut(trade(spark, folder))
     shares = graph.transition_probabilities(edges).withColumnRenamed("p", "share")
-    return cut(graph.strongest_edges(edges.filter("src <> dst"), 3).join(shares, ["src", "dst"]))
+    return cut(edges.join(shares, ["src", "dst"]))
+
+
+def main_trade(spark: SparkSession, folder: str) -> DataFrame:
+    """The three heaviest out-edges of each nation, weights as shares of the nation's trade."""
+    return cut(graph.strongest_edges(whole_trade(spark, folder).filter("src <> dst"), 3))
 
 
 def nation_nodes(spark, folder):
@@ -120,24 +124,24 @@ def g5_density(spark, folder):
 
 
 def g6_pagerank(spark, folder):
-    ranks = pagerank.pagerank(flow_graph(spark, folder), max_rounds=RANK_ROUNDS, tol=0.0)
+    ranks = pagerank.pagerank(flow_graph(spark, folder))
     return ranks.select("id", F.round("pagerank", 8).alias("pagerank"))
 
 
 def g6_pagerank_converged(spark, folder):
-    """Main trade edges until ranks stand still."""
-    g = graph.build_graph(nation_nodes(spark, folder), main_trade(spark, folder))
+    """All trade edges, ranks rounded as they are shown."""
+    g = graph.build_graph(nation_nodes(spark, folder), whole_trade(spark, folder))
     return pagerank.pagerank(g).select("id", F.round("pagerank", 4).alias("pagerank"))
 
 
 def g7_top_nodes(spark, folder):
-    g = graph.build_graph(nation_nodes(spark, folder), main_trade(spark, folder))
-    ranks = pagerank.pagerank(g, max_rounds=RANK_ROUNDS, tol=0.0)
+    g = graph.build_graph(nation_nodes(spark, folder), whole_trade(spark, folder))
+    ranks = pagerank.pagerank(g)
     return pagerank.top_nodes(ranks.select("id", F.round("pagerank", 8).alias("pagerank")), 5)
 
 
 def g8_betweenness(spark, folder):
-    g = graph.build_graph(nation_nodes(spark, folder), main_trade(spark, folder))
+    g = graph.build_graph(nation_nodes(spark, folder), whole_trade(spark, folder))
     found = betweenness.betweenness(g)
     return found.select("id", F.round("betweenness", 6).alias("betweenness"))
 
@@ -215,7 +219,7 @@ def g16_scenarios(spark, folder):
 
 
 def g17_node_metrics(spark, folder):
-    g = graph.build_graph(nation_nodes(spark, folder), main_trade(spark, folder))
+    g = graph.build_graph(nation_nodes(spark, folder), whole_trade(spark, folder))
     return plans.node_metrics(g)
 
 
@@ -225,14 +229,14 @@ def s7_export_nodes(spark, folder):
 
 
 def s7_export_links(spark, folder):
-    g = graph.build_graph(nation_nodes(spark, folder), _shared_edges(spark, folder).withColumn(
-        "weight", F.when(F.col("weight") > 0.05, F.col("weight"))))
+    g = graph.build_graph(nation_nodes(spark, folder), whole_trade(spark, folder).select(
+        "src", "dst", F.when(F.col("share") > 0.05, F.col("share")).alias("weight")))
     return sinks.export_links(g.edges)
 
 
 def a1_summary(spark, folder):
-    g = graph.build_graph(nation_nodes(spark, folder), main_trade(spark, folder))
-    ranks = pagerank.pagerank(g, max_rounds=RANK_ROUNDS, tol=0.0)
+    g = graph.build_graph(nation_nodes(spark, folder), whole_trade(spark, folder))
+    ranks = pagerank.pagerank(g)
     rounded = ranks.select("id", F.round("pagerank", 8).alias("pagerank"))
     return plans.summary(load(spark, folder, "documents"), tables.label_table(spark), g, rounded, trained=False)
 
@@ -244,9 +248,9 @@ trade AS (SELECT sn.n_name AS src, cn.n_name AS dst, sum(l_quantity) AS weight
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey
   JOIN nation cn ON c_nationkey = cn.n_nationkey GROUP BY ALL),
+shares AS (SELECT *, weight / sum(weight) OVER (PARTITION BY src) AS share FROM trade),
 main AS (SELECT src, dst, weight, share FROM (
-  SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS nth FROM (
-    SELECT *, weight / sum(weight) OVER (PARTITION BY src) AS share FROM trade) WHERE src <> dst) WHERE nth <= 3)"""
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS nth FROM shares WHERE src <> dst) WHERE nth <= 3)"""
 
 FLOWS_SQL = """
 flows AS (
@@ -268,13 +272,15 @@ def _rank_sql(nodes: str, edges: str) -> str:
 ns AS (SELECT id, count(*) OVER () AS n FROM {nodes}),
 es AS (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS p FROM {edges}),
 pr AS (
-  SELECT 0 AS it, id, 1.0::DOUBLE / n AS r FROM ns
+  SELECT 0 AS it, id, n, 1.0::DOUBLE / n AS r, 1.0::DOUBLE AS d FROM ns
   UNION ALL
-  SELECT it + 1, ns.id, 0.15 / n + 0.85 * (coalesce(got, 0) + sunk / n)
-  FROM ns LEFT JOIN (SELECT dst, sum(r * p) AS got FROM pr JOIN es ON src = id GROUP BY dst) g ON g.dst = ns.id
-  CROSS JOIN (SELECT max(it) AS it, coalesce(sum(r) FILTER (WHERE id NOT IN (SELECT src FROM es)), 0) AS sunk FROM pr) s
-  WHERE it < {RANK_ROUNDS}),
-ranks AS (SELECT id, r AS pagerank FROM pr WHERE it = {RANK_ROUNDS})"""
+  SELECT it + 1, id, n, new, abs(new - r) FROM (
+    SELECT s.it, o.id, o.n, o.r, 0.15 / o.n + 0.85 * (coalesce(got, 0) + sunk / o.n) AS new
+    FROM pr o LEFT JOIN (SELECT dst, sum(r * p) AS got FROM pr JOIN es ON src = id GROUP BY dst) g ON g.dst = o.id
+    CROSS JOIN (SELECT max(it) AS it, sum(d) AS moved,
+      coalesce(sum(r) FILTER (WHERE id NOT IN (SELECT src FROM es)), 0) AS sunk FROM pr) s
+    WHERE s.it < 100 AND s.moved >= o.n * 1e-6) steps),
+ranks AS (SELECT id, r AS pagerank FROM pr WHERE it = (SELECT max(it) FROM pr))"""
 
 
 def _paths_sql(pairs: str, cutoff: int) -> str:
@@ -304,9 +310,9 @@ d{i} AS (SELECT s, v, min(d) AS d FROM (SELECT * FROM {last} UNION ALL
   SELECT x.s, y.v, x.d + y.d FROM {last} x JOIN {last} y ON x.v = y.s) GROUP BY ALL),"""
         last = f"d{i}"
     return f"""
-d0 AS (SELECT n_name AS s, n_name AS v, 0.0::DOUBLE AS d FROM nation UNION ALL SELECT src, dst, weight FROM main),
+d0 AS (SELECT n_name AS s, n_name AS v, 0.0::DOUBLE AS d FROM nation UNION ALL SELECT src, dst, weight FROM trade),
 {squares}
-tight AS (SELECT a.s, src AS u, dst AS v FROM {last} a JOIN main ON a.v = src JOIN {last} b ON b.s = a.s AND b.v = dst
+tight AS (SELECT a.s, src AS u, dst AS v FROM {last} a JOIN trade ON a.v = src JOIN {last} b ON b.s = a.s AND b.v = dst
   WHERE a.d + weight = b.d),
 count_walks AS (SELECT n_name AS s, n_name AS v, 0 AS hop, 1.0::DOUBLE AS c FROM nation UNION ALL
   SELECT w.s, t.v, hop + 1, sum(c) FROM count_walks w JOIN tight t ON t.s = w.s AND t.u = w.v GROUP BY w.s, t.v, hop),
@@ -335,7 +341,7 @@ def _uniform(step: str, purpose: str) -> str:
 WALKS_SQL = f"""
 WITH RECURSIVE {FLOWS_SQL},
 cdf AS (SELECT src, dst, (upto - weight) / total AS lo, upto / total AS hi FROM (
-  SELECT *, sum(weight) OVER (PARTITION BY src ORDER BY dst) AS upto, sum(weight) OVER (PARTITION BY src) AS total FROM flows)),
+  SELECT *, sum(weight) OVER (PARTITION BY src ORDER BY md5(dst), dst) AS upto, sum(weight) OVER (PARTITION BY src) AS total FROM flows)),
 walk AS (SELECT 0 AS t, c_custkey AS walk_id, 'C' || c_custkey AS node, ['C' || c_custkey] AS path FROM customer
   UNION ALL SELECT t + 1, walk_id, dst, list_append(path, dst) FROM walk JOIN cdf ON src = node
   WHERE t < 12 AND {_uniform('t + 1', 'stop')} >= 0.15
@@ -369,7 +375,7 @@ QUERIES = {
 }
 
 _NATION_IDS = "(SELECT n_name AS id FROM nation)"
-_RANKED = f"WITH RECURSIVE {TRADE_SQL}, {_rank_sql(_NATION_IDS, 'main')} "
+_RANKED = f"WITH RECURSIVE {TRADE_SQL}, {_rank_sql(_NATION_IDS, 'trade')} "
 
 ORACLES = {
     "g1_build_graph": f"""
@@ -393,6 +399,7 @@ WITH {FLOWS_SQL} SELECT id, (SELECT count(*) FROM flows WHERE dst = id) AS in_de
 WITH {FLOWS_SQL}, c AS (SELECT (SELECT count(*) FROM ids) AS n_nodes, (SELECT count(*) FROM flows) AS n_edges)
 SELECT n_nodes, n_edges, round(n_edges / (n_nodes * (n_nodes - 1)), 4) AS density FROM c""",
     "g6_pagerank": f"WITH RECURSIVE {FLOWS_SQL}, {_rank_sql('ids', 'flows')} SELECT id, round(pagerank, 8) AS pagerank FROM ranks",
+    "g6_pagerank_converged": _RANKED + "SELECT id, round(pagerank, 4) AS pagerank FROM ranks",
     "g7_top_nodes": _RANKED + "SELECT id, round(pagerank, 8) AS pagerank FROM ranks ORDER BY 2 DESC, 1 LIMIT 5",
     "g8_betweenness": f"WITH RECURSIVE {TRADE_SQL}, {_between_sql()} SELECT id, round(b, 6) AS betweenness FROM between_all",
     "g9_g10_g12_ranked_paths": f"""
@@ -417,15 +424,19 @@ best AS (SELECT start, "end", count(*) AS n_paths, max_by(path, -rank) AS path,
 SELECT name, description, coalesce(array_to_string(path, '>'), '') AS best_path, coalesce(p, 0) AS best_probability,
   coalesce(len(path), 0)::INT AS hops, coalesce(n_paths, 0)::INT AS n_paths
 FROM scenarios LEFT JOIN best USING (start, "end")""",
+    "g17_node_metrics": f"""
+WITH RECURSIVE {TRADE_SQL}, {_rank_sql(_NATION_IDS, 'trade')}, {_between_sql()}
+SELECT id, 'Region ' || n_regionkey AS description, round(pagerank, 4) AS pagerank, round(b, 4) AS betweenness
+FROM ranks JOIN between_all USING (id) JOIN nation ON n_name = id""",
     "s7_export_nodes": f"""
 WITH {TRADE_SQL} SELECT id, coalesce(description, '') AS description, coalesce(type, 'tactic') AS type
 FROM (SELECT src AS id FROM trade UNION SELECT dst FROM trade) LEFT JOIN
   (SELECT n_name AS id, 'Region 1' AS description, 'nation' AS type FROM nation WHERE n_regionkey = 1) USING (id)""",
     "s7_export_links": f"""
-WITH {TRADE_SQL} SELECT src AS source, dst AS target, round(CASE WHEN share > 0.05 THEN share ELSE 0.5 END, 3) AS weight FROM main""",
+WITH {TRADE_SQL} SELECT src AS source, dst AS target, round(CASE WHEN share > 0.05 THEN share ELSE 0.5 END, 3) AS weight FROM shares""",
     "a1_summary": _RANKED + f"""
 SELECT (SELECT count(*) FROM documents) AS total_reports, {len(fixed.LABELS)}::BIGINT AS total_tactics,
-  (SELECT count(*) FROM nation) AS graph_nodes, (SELECT count(*) FROM main) AS graph_edges,
+  (SELECT count(*) FROM nation) AS graph_nodes, (SELECT count(*) FROM trade) AS graph_edges,
   (SELECT string_agg(id, ', ' ORDER BY p DESC, id) FROM (SELECT id, round(pagerank, 8) AS p FROM ranks ORDER BY 2 DESC, 1 LIMIT 5))
     AS top_critical, false AS supervised_ready""",
 }

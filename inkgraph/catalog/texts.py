@@ -9,7 +9,7 @@ from inkgraph.catalog.common import load, q, sql_clean, sql_keywords, sql_terms
 from inkgraph.functions import arrays, text as tx
 from inkgraph.operators import keywords, similarity, tfidf
 
-FEATURES = 2_000
+FEATURES = 15_000
 
 # Function words and letter groups that tell the corpus languages apart.
 LANGUAGE_WORDS = {
@@ -236,7 +236,12 @@ def _unit_sql(name: str, tf: str, key: str) -> str:
 {name} AS (SELECT {key}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS weight FROM {name}_raw)"""
 
 
-WEIGHTS_SQL = f"WITH {sql_terms('documents', 'doc_id')}, {_fit_sql()}, {_unit_sql('unit', 'tf', 'doc_id')} "
+def weights_sql(features: int = FEATURES) -> str:
+    """``unit`` (doc_id, term, weight) of all documents."""
+    return f"WITH {sql_terms('documents', 'doc_id')}, {_fit_sql(features=features)}, {_unit_sql('unit', 'tf', 'doc_id')} "
+
+
+WEIGHTS_SQL = weights_sql()
 
 _ITEM_TERMS = sql_terms("benchmark", "item_id").replace("toks", "item_toks").replace("terms AS", "item_terms AS")
 

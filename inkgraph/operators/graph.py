@@ -91,13 +91,13 @@ def weight_or_default(weight: Column) -> Column:
 
 
 def transition_probabilities(edges: DataFrame) -> DataFrame:
-    """(src, dst, p): weights divided by the total of their source.
+    """(src, dst, p): weights divided by the total of their source; a source whose total is 0 has no moves.
 
     Totals are summed map-side and joined back, so a hub is never gathered in
     one task as a window over ``src`` would do.
     """
     weighted = edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w"))
-    totals = weighted.groupBy("src").agg(F.sum("w").alias("total"))
+    totals = weighted.groupBy("src").agg(F.sum("w").alias("total")).filter("total <> 0")
     return lookup_join(weighted, totals, "src", by=["dst"]).select(
         "src", "dst", (F.col("w") / F.col("total")).alias("p")
     )

@@ -16,21 +16,28 @@ MIN_SLOTS = 16             # so that walks meeting at a node with few edges stil
 def uniform(walk: str, step: int, purpose: str, seed: int) -> Column:
     """A number in [0, 1) that depends on its arguments only."""
     text = F.concat_ws("|", F.col(walk).cast("string"), F.lit(str(step)), F.lit(purpose), F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(2**52)
+    return hash_place(F.md5(text))
+
+
+def hash_place(digits: Column) -> Column:
+    """Where a hash stands among all hashes, in [0, 1): its first 52 bits."""
+    return F.conv(F.substring(digits, 1, 13), 16, 10).cast("double") / float(2**52)
 
 
 def intervals(edges: DataFrame) -> DataFrame:
-    """(src, dst, lo, hi, degree): each edge's share of [0, 1), in order of ``dst``.
+    """(src, dst, lo, hi, degree): each edge's share of [0, 1), in order of (md5 of ``dst``, ``dst``).
 
-    Nodes with very many edges are summed in chunks (by hash of ``dst``), and the
-    chunks are then shifted by the totals before them.
+    The edges of a node are summed in chunks, which are ranges of that hash, and
+    the chunks are then shifted by the totals before them: the order is one and
+    the same however many chunks a node has.  Edges without weight have no share.
     """
-    rows = edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w"))
+    rows = edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w")).filter("w > 0")
+    rows = rows.withColumn("hash", F.md5(F.col("dst").cast("string")))
     degree = rows.groupBy("src").agg(F.count("*").alias("degree"))
     rows = lookup_join(rows, degree, "src", by=["dst"])
     chunks = F.ceil(F.col("degree") / F.lit(CHUNK_EDGES))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("dst"), chunks))
-    inside = Window.partitionBy("src", "chunk").orderBy("dst")
+    rows = rows.withColumn("chunk", F.floor(hash_place(F.col("hash")) * chunks))
+    inside = Window.partitionBy("src", "chunk").orderBy("hash", "dst")
     summed = cut(rows.withColumns({
         "upto": F.sum("w").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
         "before": F.coalesce(F.sum("w").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),

@@ -67,13 +67,13 @@ class Clusters:
 
 def cluster_reports(
     reports: DataFrame, key: str, title: str, text: str, names: DataFrame, k: int = 4, n_components: int = 50,
-    max_features: int = 10_000, restarts: int = clustering.RESTARTS, hierarchy_method: str = "ward",
-    measure: str = "euclidean",
+    max_features: int = 10_000, restarts: int = clustering.RESTARTS, hierarchy_method: str = "bisecting",
+    measure: str = "squared",
 ) -> Clusters:
     """Embed, cluster twice, project, and describe each cluster by its keywords.
 
-    ``hierarchy_method='bisecting'`` and ``measure='squared'`` keep every step
-    linear in the number of reports.
+    Every step is linear in the number of reports, unless ``hierarchy_method='ward'``
+    or ``measure='euclidean'`` ask for all pairs.
     """
     model = lsa.fit(reports, text, n_components, max_features)
     dense = cut(model.transform(reports.select(key, title, text), text))

@@ -184,6 +184,30 @@ def test_walk_intervals_cover_and_chunks_agree(spark, monkeypatch):
     assert check() == pytest.approx(whole)
 
 
+def test_walks_are_the_same_for_any_chunk_size(spark, monkeypatch):
+    rows = [("a", f"n{i:03d}", float(i % 5 + 1)) for i in range(40)] + [(f"n{i:03d}", "a", 1.0) for i in range(40)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    starts = spark.range(100).select(F.col("id").alias("walk_id"), F.lit("a").alias("start"))
+    def found():
+        return sorted(tuple(map(str, r)) for r in walks.random_walks(edges, starts, max_steps=4).collect())
+    whole = found()
+    monkeypatch.setattr(walks, "CHUNK_EDGES", 7)
+    assert found() == whole
+
+
+def test_nodes_without_weight_are_sinks(spark):
+    rows = [("a", "b", 0.0), ("a", "c", 0.0), ("b", "a", 1.0), ("b", "c", 0.0)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    moves = {(r["src"], r["dst"]): r["p"] for r in graph.transition_probabilities(edges).collect()}
+    assert moves == {("b", "a"): 1.0, ("b", "c"): 0.0}
+    starts = spark.createDataFrame([(1, "a"), (2, "b")], "walk_id int, start string")
+    paths_found = {r["walk_id"]: r["path"] for r in walks.random_walks(edges, starts, stop_probability=0.0).collect()}
+    assert paths_found == {1: ["a"], 2: ["b", "a"]}
+    nodes = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    ranks = as_dict(pagerank.pagerank(graph.build_graph(nodes, edges)))
+    assert sum(ranks.values()) == pytest.approx(1.0, abs=1e-6)
+
+
 def test_transitions_across_chunks(spark):
     rows = [(1, 1, "a"), (1, 2, "b"), (1, 11, "a"), (1, 35, "c"), (2, 3, "b"), (2, 40, "b")]
     events = spark.createDataFrame(rows, "who int, at int, what string")
