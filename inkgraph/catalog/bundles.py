@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inkgraph import fixed_values as fixed
 from inkgraph import schemas
 from inkgraph.catalog.common import load, q, sql_clean
 from inkgraph.operators import labels
-from inkgraph.session import scratch_folder
+from inkgraph.session import cut, scratch_folder
 from inkgraph.sources import bundle, sinks, tables
 
 PHASES = {"en": ["execution", "initial-access"], "fr": ["command-and-control"], "de": ["unknown-phase"], "es": []}
@@ -94,6 +96,11 @@ def s2d_relationships(spark, folder):
     return bundle.relationships(_objects(spark, folder))
 
 
+def labelled_techniques(spark, folder) -> DataFrame:
+    """Processed techniques with their primary label."""
+    return labels.with_primary_label(_processed(spark, folder))
+
+
 def _processed(spark, folder):
     return bundle.preprocess_techniques(s2b_techniques(spark, folder))
 
@@ -124,6 +131,21 @@ def s4_s5_csv_tables(spark, folder):
     return tables.read_csv(spark, path, schemas.TECHNIQUES).fillna("")
 
 
+def s5_all_tables(spark, folder):
+    """The four tables of the bundles written as CSV and read back: table, first and second key column of each row."""
+    path = f"{scratch_folder(spark)}/tables"
+    made = bundle.bundle_tables(cut(bundle.parse_bundles(bundle_lines(spark, folder))))
+    sinks.write_tables(made, path)
+    keys = {"tactics": ("short_name", "name"), "techniques": ("stix_id", "name"), "groups": ("stix_id", "name"),
+            "relationships": ("source_ref", "target_ref")}
+    read = [
+        tables.read_csv(spark, f"{path}/{name}", made[name].schema).select(
+            F.lit(name).alias("table_name"), F.col(first).alias("first_key"), F.col(second).alias("second_key"))
+        for name, (first, second) in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
 def s6_json_results(spark, folder):
     """Ranked groups written as JSON lines and read back."""
     path = f"{scratch_folder(spark)}/groups"
@@ -169,6 +191,7 @@ QUERIES = {
     "p8_f3_f5_primary_label_strict": p8_f5_primary_label_strict,
     "p9_head": p9_head,
     "s4_s5_csv_tables": s4_s5_csv_tables,
+    "s5_all_tables": s5_all_tables,
     "s6_json_results": s6_json_results,
 }
 
@@ -198,6 +221,11 @@ SELECT id, tactics, label AS primary_tactic FROM (
 JOIN {LABELS_SQL} ON label = upper(substr(trim(split_part(tactics, ',', 1)), 1, 1)) || lower(substr(trim(split_part(tactics, ',', 1)), 2))""",
     "p9_head": f"SELECT id, name, tactics, platforms FROM {PROCESSED_SQL} ORDER BY id LIMIT 5",
     "s4_s5_csv_tables": TECHNIQUES_SQL,
+    "s5_all_tables": """
+SELECT 'tactics' AS table_name, lower(n_name) AS first_key, n_name AS second_key FROM nation UNION ALL
+SELECT 'techniques', 'doc-' || doc_id, source FROM documents UNION ALL
+SELECT 'groups', 'g-' || s_suppkey, s_name FROM supplier UNION ALL
+SELECT 'relationships', 'C' || o_custkey, 'O' || o_orderkey FROM orders""",
     "s6_json_results": "SELECT 'g-' || s_suppkey AS stix_id, s_name AS name, s_name || ', N' || s_nationkey AS aliases, "
                        "s_name AS description FROM supplier",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inkgraph import fixed_values as fixed
+from inkgraph.catalog.bundles import labelled_techniques
 from inkgraph.catalog.common import load
 from inkgraph.catalog.texts import LANGUAGE_LETTERS, LANGUAGE_WORDS, _scores_sql
 from inkgraph.operators import classifier, evaluation, keywords, split
@@ -93,6 +94,14 @@ def m10_trained_against_keywords(spark, folder):
     return _rounded(result.report, "precision", "recall", "f1")
 
 
+def m10_techniques(spark, folder):
+    """Bundles to measures: techniques un-nested, cleaned and labelled, split, trained on and compared with the keywords."""
+    result = reports.evaluate_classifiers(
+        labelled_techniques(spark, folder), "stix_id", "text_for_nlp", "primary_tactic", max_features=FEATURES
+    )
+    return _rounded(result.report, "precision", "recall", "f1")
+
+
 def m2_m3_predictions(spark, folder):
     docs = _docs(spark, folder)
     rows = docs.join(load(spark, folder, "labels"), "doc_id").withColumn("quality", F.col("quality").cast("string"))
@@ -182,6 +191,7 @@ QUERIES = {
     "m9_averages": m9_averages,
     "m10_compare_on_holdout": m10_compare_on_holdout,
     "m10_trained_against_keywords": m10_trained_against_keywords,
+    "m10_techniques": m10_techniques,
     "m2_m3_predictions": m2_m3_predictions,
     "m4_top_probabilities": m4_top_probabilities,
     "m11_classified_reports": m11_classified_reports,

@@ -60,6 +60,12 @@ def u3_silhouette_mean(spark, folder):
     return values.agg(F.round(F.avg("silhouette"), 4).alias("silhouette"))
 
 
+def u3_silhouette_squared(spark, folder):
+    """The linear form, by squared distances."""
+    mean = silhouette.score(_points(spark, folder), "vec_id", "embedding", "label", "squared")
+    return load(spark, folder, "embeddings").agg(F.count("*").alias("n")).withColumn("silhouette", F.lit(round(mean, 4)))
+
+
 def u4_inertia(spark, folder):
     return clustering.inertia(_points(spark, folder), "embedding", "label").select(F.round("inertia", 4).alias("inertia"))
 
@@ -129,15 +135,18 @@ def _clustered(spark, folder):
 
 
 def u9_u10_clustered_reports(spark, folder):
-    """Embedding, both clusterings, projection, keywords and names in one go."""
+    """Embedding, both clusterings and their silhouettes, projection, keywords and names in one go."""
     result = _clustered(spark, folder)
     place = result.scatter.select(F.col("id").alias("report_id"), "x", "y", "profile")
-    return result.profiles.join(place, "report_id").withColumn("top_keywords", F.array_join("top_keywords", ", "))
+    return result.profiles.join(place, "report_id").withColumns({
+        "top_keywords": F.array_join("top_keywords", ", "),
+        "km_silhouette": F.lit(result.km_silhouette), "hac_silhouette": F.lit(result.hac_silhouette),
+    })
 
 
 _PAIRS = """
 p AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
-m AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.v, b.v)) AS total,
+m AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.v, b.v){power}) AS total,
     count(*) FILTER (WHERE a.vec_id <> b.vec_id) AS n FROM p a CROSS JOIN p b GROUP BY ALL),
 ab AS (SELECT vec_id, label, max(CASE WHEN label = other AND n > 0 THEN total / n END) AS a,
     min(CASE WHEN label <> other THEN total / n END) AS b FROM m GROUP BY ALL),
@@ -163,6 +172,7 @@ QUERIES = {
     "u2_bisecting": u2_bisecting,
     "u3_silhouette": u3_silhouette,
     "u3_silhouette_mean": u3_silhouette_mean,
+    "u3_silhouette_squared": u3_silhouette_squared,
     "u4_inertia": u4_inertia,
     "u5_sweep": u5_sweep,
     "u6_nearest_centroid": u6_nearest_centroid,
@@ -174,9 +184,10 @@ QUERIES = {
 }
 
 ORACLES = {
-    "u3_silhouette": f"WITH {_PAIRS} SELECT vec_id, label, round(a, 6) AS a, round(b, 6) AS b, "
+    "u3_silhouette": f"WITH {_PAIRS.format(power="")} SELECT vec_id, label, round(a, 6) AS a, round(b, 6) AS b, "
                      "round(silhouette, 6) AS silhouette FROM s",
-    "u3_silhouette_mean": f"WITH {_PAIRS} SELECT round(avg(silhouette), 4) AS silhouette FROM s",
+    "u3_silhouette_mean": f"WITH {_PAIRS.format(power="")} SELECT round(avg(silhouette), 4) AS silhouette FROM s",
+    "u3_silhouette_squared": f"WITH {_PAIRS.format(power=' ** 2')} SELECT count(*) AS n, round(avg(silhouette), 4) AS silhouette FROM s",
     "u4_inertia": f"WITH {_CENTRES} SELECT round(sum((x.value - c.value) * (x.value - c.value)), 4) AS inertia "
                   "FROM x JOIN c USING (label, dim)",
     "u6_nearest_centroid": f"""

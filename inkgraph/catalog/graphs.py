@@ -12,7 +12,7 @@ from inkgraph.plans import graphs as plans
 from inkgraph.session import cut
 from inkgraph.sources import sinks, tables
 
-CUTOFF = 4
+CUTOFF = 10
 
 
 # --- the graphs --------------------------------------------------------------
@@ -23,7 +23,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     orders = load(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("cust"))
     per_order = lines.groupBy("l_orderkey", "supp").agg(F.sum("l_quantity").alias("quantity"))
     return (
-        lookup_join(per_order, orders, "l_orderkey", by=["supp"])
+        lookup_join(per_order, orders, "l_orderkey")
         .groupBy("cust", "supp").agg(F.sum("quantity").alias("quantity"))
     )
 
@@ -34,9 +34,9 @@ def trade(spark: SparkSession, folder: str) -> DataFrame:
         nations = F.broadcast(load(spark, folder, "nation").select(F.col("n_nationkey").alias(nation), F.col("n_name").alias(out)))
         return load(spark, folder, table).join(nations, nation).select(F.col(key).alias(name), out)   # nations: 25 rows
 
-    pairs = lookup_join(sales(spark, folder), home("supplier", "s_suppkey", "s_nationkey", "supp", "src"), "supp", by=["cust"])
+    pairs = lookup_join(sales(spark, folder), home("supplier", "s_suppkey", "s_nationkey", "supp", "src"), "supp")
     pairs = pairs.groupBy("cust", "src").agg(F.sum("quantity").alias("quantity"))
-    pairs = lookup_join(pairs, home("customer", "c_custkey", "c_nationkey", "cust", "dst"), "cust", by=["src"])
+    pairs = lookup_join(pairs, home("customer", "c_custkey", "c_nationkey", "cust", "dst"), "cust")
     return pairs.groupBy("src", "dst").agg(F.sum("quantity").alias("weight"))
 
 
@@ -47,11 +47,6 @@ def whole_trade(spark: SparkSession, folder: str) -> DataFrame:
     return cut(edges.join(shares, ["src", "dst"]))
 
 
-def main_trade(spark: SparkSession, folder: str) -> DataFrame:
-    """The three heaviest out-edges of each nation, weights as shares of the nation's trade."""
-    return cut(graph.strongest_edges(whole_trade(spark, folder).filter("src <> dst"), 3))
-
-
 def nation_nodes(spark, folder):
     return load(spark, folder, "nation").select(
         F.col("n_name").alias("id"), F.concat(F.lit("Region "), "n_regionkey").alias("description"), F.lit("nation").alias("type")
@@ -147,14 +142,13 @@ def g8_betweenness(spark, folder):
 
 
 def _shared_edges(spark, folder):
-    return main_trade(spark, folder).select("src", "dst", F.col("share").alias("weight"))
+    return whole_trade(spark, folder).select("src", "dst", F.col("share").alias("weight"))
 
 
 def _all_pairs(spark, folder):
-    """Every nation to the nations of the next region."""
-    nations = load(spark, folder, "nation").select("n_name", "n_regionkey")
-    ends = nations.select(F.col("n_name").alias("end"), (F.col("n_regionkey") - 1).alias("n_regionkey"))
-    return nations.join(ends, "n_regionkey").select(F.col("n_name").alias("start"), "end")
+    """Every nation to every other one."""
+    nations = load(spark, folder, "nation").agg(F.collect_set("n_name").alias("names"))      # 25 names
+    return nations.select(F.explode("names").alias("start"), "names").select("start", F.explode("names").alias("end"))
 
 
 def g9_g12_ranked_paths(spark, folder):
@@ -214,7 +208,8 @@ def _scenarios(spark, folder):
 def g16_scenarios(spark, folder):
     found = paths.run_scenarios(_shared_edges(spark, folder), _scenarios(spark, folder), CUTOFF, 3)
     return found.select(
-        "name", "description", F.array_join("best_path", ">").alias("best_path"), "best_probability", "hops", "n_paths"
+        "name", "description", F.array_join("best_path", ">").alias("best_path"), "best_probability", "hops", "n_paths",
+        F.array_join("random_walk", ">").alias("random_walk"),
     )
 
 
@@ -248,9 +243,7 @@ trade AS (SELECT sn.n_name AS src, cn.n_name AS dst, sum(l_quantity) AS weight
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey
   JOIN nation cn ON c_nationkey = cn.n_nationkey GROUP BY ALL),
-shares AS (SELECT *, weight / sum(weight) OVER (PARTITION BY src) AS share FROM trade),
-main AS (SELECT src, dst, weight, share FROM (
-  SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS nth FROM shares WHERE src <> dst) WHERE nth <= 3)"""
+shares AS (SELECT *, weight / sum(weight) OVER (PARTITION BY src) AS share FROM trade)"""
 
 FLOWS_SQL = """
 flows AS (
@@ -283,18 +276,31 @@ pr AS (
 ranks AS (SELECT id, r AS pagerank FROM pr WHERE it = (SELECT max(it) FROM pr))"""
 
 
-def _paths_sql(pairs: str, cutoff: int) -> str:
+def _paths_sql(pairs: str, top: int) -> str:
+    """All simple paths, but for those that are already below the ``top``-th of the paths with one or two edges.
+
+    No share is over 1, so a prefix never grows.
+    """
     return f"""
+hops AS (SELECT src, dst, share FROM shares WHERE src <> dst),
+pairs AS (SELECT s AS start, e AS "end" FROM ({pairs}) AS pairs(s, e) WHERE s <> e),
+short AS (SELECT start, "end", round(share, 6) AS p FROM pairs JOIN hops ON src = start AND dst = "end" UNION ALL
+  SELECT start, "end", round(a.share * b.share, 6) FROM pairs JOIN hops a ON a.src = start JOIN hops b ON b.src = a.dst AND b.dst = "end"
+  WHERE a.dst <> "end"),
+floors AS (SELECT start, "end", min(p) AS worst FROM (
+  SELECT *, row_number() OVER (PARTITION BY start, "end" ORDER BY p DESC) AS nth FROM short) WHERE nth <= {top}
+  GROUP BY start, "end" HAVING count(*) = {top}),
 walk AS (
-  SELECT s AS start, e AS "end", s AS tail, [s] AS path, 1.0::DOUBLE AS p FROM ({pairs}) AS pairs(s, e) WHERE s <> e
+  SELECT start, "end", start AS tail, [start] AS path, 1.0::DOUBLE AS p, coalesce(worst, 0) AS worst
+  FROM pairs LEFT JOIN floors USING (start, "end")
   UNION ALL
-  SELECT start, "end", dst, list_append(path, dst), p * share FROM walk JOIN main ON tail = src
-  WHERE tail <> "end" AND len(path) <= {cutoff} AND NOT list_contains(path, dst)),
+  SELECT start, "end", dst, list_append(path, dst), p * share, worst FROM walk JOIN hops ON tail = src
+  WHERE tail <> "end" AND len(path) <= {CUTOFF} AND NOT list_contains(path, dst) AND round(p * share, 6) >= worst),
 ranked AS (SELECT start, "end", path, round(p, 6) AS probability,
     row_number() OVER (PARTITION BY start, "end" ORDER BY round(p, 6) DESC, path) AS rank FROM walk WHERE tail = "end")"""
 
 
-ALL_PAIRS = "SELECT a.n_name, b.n_name FROM nation a JOIN nation b ON b.n_regionkey = a.n_regionkey + 1"
+ALL_PAIRS = "SELECT a.n_name, b.n_name FROM nation a, nation b"
 
 SCENARIO_SQL = """
 scenarios AS (SELECT c_mktsegment AS name, a.n_name AS start, b.n_name AS "end", a.n_name || ' to ' || b.n_name AS description
@@ -338,17 +344,22 @@ def _uniform(step: str, purpose: str) -> str:
     return f"(('0x' || substr(md5(walk_id || '|' || ({step}) || '|{purpose}|42'), 1, 13))::BIGINT / 4503599627370496.0)"
 
 
-WALKS_SQL = f"""
-WITH RECURSIVE {FLOWS_SQL},
+def _walks_sql(edges: str, starts: str) -> str:
+    """``walks`` (walk_id, n_moves, visited) from a table of edges and a query of (walk_id, start)."""
+    return f"""
 cdf AS (SELECT src, dst, (upto - weight) / total AS lo, upto / total AS hi FROM (
-  SELECT *, sum(weight) OVER (PARTITION BY src ORDER BY md5(dst), dst) AS upto, sum(weight) OVER (PARTITION BY src) AS total FROM flows)),
-walk AS (SELECT 0 AS t, c_custkey AS walk_id, 'C' || c_custkey AS node, ['C' || c_custkey] AS path FROM customer
-  UNION ALL SELECT t + 1, walk_id, dst, list_append(path, dst) FROM walk JOIN cdf ON src = node
+  SELECT *, sum(weight) OVER (PARTITION BY src ORDER BY md5(dst), dst) AS upto, sum(weight) OVER (PARTITION BY src) AS total FROM {edges})),
+steps AS (SELECT 0 AS t, walk_id, node, [node] AS path FROM ({starts}) AS starts(walk_id, node)
+  UNION ALL SELECT t + 1, walk_id, dst, list_append(path, dst) FROM steps JOIN cdf ON src = node
   WHERE t < 12 AND {_uniform('t + 1', 'stop')} >= 0.15
     AND {_uniform('t + 1', 'move')} >= lo AND {_uniform('t + 1', 'move')} < hi),
-ends AS (SELECT walk_id, max(t) AS n_moves, max_by(path, t) AS path FROM walk GROUP BY walk_id)
-SELECT walk_id, n_moves::INT AS n_moves,
-  array_to_string(list_filter(path, lambda x, i: list_position(path, x) = i), '>') AS path FROM ends"""
+walks AS (SELECT walk_id, n_moves, array_to_string(list_filter(path, lambda x, i: list_position(path, x) = i), '>') AS visited
+  FROM (SELECT walk_id, max(t) AS n_moves, max_by(path, t) AS path FROM steps GROUP BY walk_id))"""
+
+
+WALKS_SQL = f"""
+WITH RECURSIVE {FLOWS_SQL}, {_walks_sql('flows', "SELECT c_custkey, 'C' || c_custkey FROM customer")}
+SELECT walk_id, n_moves::INT AS n_moves, visited AS path FROM walks"""
 
 QUERIES = {
     "g1_build_graph": g1_build_graph,
@@ -403,11 +414,11 @@ SELECT n_nodes, n_edges, round(n_edges / (n_nodes * (n_nodes - 1)), 4) AS densit
     "g7_top_nodes": _RANKED + "SELECT id, round(pagerank, 8) AS pagerank FROM ranks ORDER BY 2 DESC, 1 LIMIT 5",
     "g8_betweenness": f"WITH RECURSIVE {TRADE_SQL}, {_between_sql()} SELECT id, round(b, 6) AS betweenness FROM between_all",
     "g9_g10_g12_ranked_paths": f"""
-WITH RECURSIVE {TRADE_SQL}, {_paths_sql(ALL_PAIRS, CUTOFF)}
+WITH RECURSIVE {TRADE_SQL}, {_paths_sql(ALL_PAIRS, 5)}
 SELECT start, "end", rank::INT AS rank, array_to_string(path, '>') AS path, probability, len(path)::INT AS n_nodes,
   (len(path) - 1)::INT AS n_edges FROM ranked WHERE rank <= 5""",
     "g11_path_steps": f"""
-WITH RECURSIVE {TRADE_SQL}, {_paths_sql(ALL_PAIRS, CUTOFF)}
+WITH RECURSIVE {TRADE_SQL}, {_paths_sql(ALL_PAIRS, 2)}
 SELECT start, "end", rank::INT AS rank, i::INT AS step, path[i] AS src, path[i + 1] AS dst
 FROM (SELECT *, unnest(range(1, len(path))) AS i FROM ranked WHERE rank <= 2)""",
     "g13_transition_probabilities": f"""
@@ -418,12 +429,13 @@ WITH {EVENTS_SQL} SELECT src, dst, round(weight / sum(weight) OVER (PARTITION BY
     "g15_expected_visits": f"WITH RECURSIVE {TRADE_SQL}, {_visits_sql('trade', 'SELECT n_name FROM nation')}",
     "g15_event_visits": f"WITH RECURSIVE {EVENTS_SQL}, {_visits_sql('steps', 'SELECT DISTINCT src FROM steps')}",
     "g16_scenarios": f"""
-WITH RECURSIVE {TRADE_SQL}, {SCENARIO_SQL}, {_paths_sql('SELECT DISTINCT start, "end" FROM scenarios', CUTOFF)},
+WITH RECURSIVE {TRADE_SQL}, {SCENARIO_SQL}, {_paths_sql('SELECT DISTINCT start, "end" FROM scenarios', 3)}, 
+hop_shares AS (SELECT src, dst, share AS weight FROM shares), {_walks_sql('hop_shares', 'SELECT name, start FROM scenarios')},
 best AS (SELECT start, "end", count(*) AS n_paths, max_by(path, -rank) AS path, max_by(probability, -rank) AS p
   FROM ranked WHERE rank <= 3 GROUP BY ALL)
 SELECT name, description, coalesce(array_to_string(path, '>'), '') AS best_path, coalesce(p, 0) AS best_probability,
-  coalesce(len(path), 0)::INT AS hops, coalesce(n_paths, 0)::INT AS n_paths
-FROM scenarios LEFT JOIN best USING (start, "end")""",
+  coalesce(len(path), 0)::INT AS hops, coalesce(n_paths, 0)::INT AS n_paths, visited AS random_walk
+FROM scenarios LEFT JOIN best USING (start, "end") LEFT JOIN walks ON walk_id = name""",
     "g17_node_metrics": f"""
 WITH RECURSIVE {TRADE_SQL}, {_rank_sql(_NATION_IDS, 'trade')}, {_between_sql()}
 SELECT id, 'Region ' || n_regionkey AS description, round(pagerank, 4) AS pagerank, round(b, 4) AS betweenness

@@ -107,7 +107,7 @@ def inertia(df: DataFrame, column: str, cluster: str = "cluster") -> DataFrame:
     """Sum of squared distances of rows to the mean of their own cluster."""
     centres = cut(centroids(df, column, cluster))
     points = df.select(cluster, F.col(column).cast("array<double>").alias("point"))
-    own = lookup_join(points, centres, cluster, by=["point"])
+    own = lookup_join(points, centres, cluster)
     return own.agg(F.sum(squared_distance(F.col("point"), F.col("centroid"))).alias("inertia"))
 
 
@@ -126,7 +126,7 @@ def cluster_keywords(
     )
     order = Window.partitionBy(cluster).orderBy(F.desc("weight"), "idx")
     return (
-        lookup_join(sums, sizes, cluster, by=["idx"])
+        lookup_join(sums, sizes, cluster)
         .withColumn("weight", F.round(F.col("total") / F.col("members"), 6))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= top)

@@ -98,7 +98,7 @@ def transition_probabilities(edges: DataFrame) -> DataFrame:
     """
     weighted = edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w"))
     totals = weighted.groupBy("src").agg(F.sum("w").alias("total")).filter("total <> 0")
-    return lookup_join(weighted, totals, "src", by=["dst"]).select(
+    return lookup_join(weighted, totals, "src").select(
         "src", "dst", (F.col("w") / F.col("total")).alias("p")
     )
 

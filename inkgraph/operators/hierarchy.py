@@ -86,7 +86,9 @@ def ward_merges(df: DataFrame, key: str, column: str, block_rows: int = BLOCK_RO
         merges = mutual.select(F.col("c").alias("kept"), F.col("other").alias("gone"), "cost")
         clusters = cut(_merge(clusters, merges))
         rounds.append(merges)
-        rows = clusters.count()
+        before, rows = rows, clusters.count()
+        if rows == before:
+            raise ValueError("nothing left to merge: a key is repeated, or a vector holds null or NaN")
     empty = df.sparkSession.createDataFrame([], "kept bigint, gone bigint, cost double")
     return reduce(DataFrame.unionByName, rounds, empty)
 
@@ -105,7 +107,7 @@ def ward(df: DataFrame, key: str, column: str, k: int = 4, block_rows: int = BLO
     tree = cut(ids.join(parents, "id", "left").select("id", F.coalesce("up", "id").alias("up")))
     while True:
         above = tree.select(F.col("id").alias("up"), F.col("up").alias("top"))
-        lifted = cut(lookup_join(tree, above, "up", by=["id"]).select("id", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")))
+        lifted = cut(lookup_join(tree, above, "up").select("id", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")))
         tree = lifted.drop("moved")
         if lifted.filter("moved").isEmpty():
             break

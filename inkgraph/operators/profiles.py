@@ -25,7 +25,7 @@ def profiles(
     )
     per_cluster = keywords.join(names, "cluster", "full").withColumnRenamed("cluster", "kmeans_cluster")
     rows = docs.select(key, title).join(both, key)
-    return lookup_join(rows, per_cluster, "kmeans_cluster", by=[key], how="left").select(
+    return lookup_join(rows, per_cluster, "kmeans_cluster", how="left").select(
         F.col(key).alias("report_id"), F.col(title).alias("title"), "kmeans_cluster", "hac_cluster",
         profile_name(F.col("kmeans_cluster")).alias("actor_profile"),
         F.coalesce("top_keywords", F.array().cast("array<string>")).alias("top_keywords"),
@@ -34,7 +34,7 @@ def profiles(
 
 def scatter(points: DataFrame, key: str, title: str, names: DataFrame) -> DataFrame:
     """(id, title, x, y, cluster, profile) from rows with x, y and cluster."""
-    return lookup_join(points, names, "cluster", by=[key], how="left").select(
+    return lookup_join(points, names, "cluster", how="left").select(
         F.col(key).alias("id"), F.col(title).alias("title"), "x", "y", "cluster",
         profile_name(F.col("cluster")).alias("profile"),
     )

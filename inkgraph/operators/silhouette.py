@@ -85,7 +85,7 @@ def values(df: DataFrame, key: str, column: str, cluster: str, block_rows: int =
     """(id, cluster, a, b, silhouette) of every row; rows of singleton clusters get 0."""
     sums = distance_sums(df, key, column, cluster, block_rows)
     sizes = cut(df.groupBy(F.col(cluster).alias("other")).agg(F.count("*").alias("size")))   # one row per cluster
-    mean = lookup_join(sums, sizes, "other", by=["id"])
+    mean = lookup_join(sums, sizes, "other")
     inside = F.col("own") == F.col("other")
     per_row = mean.groupBy("id", "own").agg(
         F.max(F.when(inside, F.col("size"))).alias("size"),

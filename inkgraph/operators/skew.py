@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 SALTS = 64
 HOT_SHARE = 0.001          # so at most 1,000 keys can be hot, whatever the data size
 HOT_ROWS = 1_000_000       # below this a key is never worth splitting
-BROADCAST_ROWS = 200_000   # largest table that is broadcast, checked by counting
+BROADCAST_ROWS = 200_000   # longest table of (node, number) that is broadcast, checked by counting
 
 
 @dataclass(frozen=True)
@@ -60,15 +60,11 @@ def spread_join(
     return hot.spread(many, key, by).join(hot.copy(few, key), [key, "salt"], how).drop("salt")
 
 
-def checked_broadcast(few: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``few`` with a broadcast hint if it is counted to be small, else as it is (AQE then splits hot keys)."""
-    return F.broadcast(few) if few.limit(limit + 1).count() <= limit else few
+def lookup_join(many: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``many`` with the columns that ``few`` has for ``key``; no job runs while the plan is made.
 
-
-def lookup_join(
-    many: DataFrame, few: DataFrame, key: str, by: list[str], how: str = "inner", limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join with a table that is broadcast if, and only if, it is counted to be small."""
-    if few.limit(limit + 1).count() <= limit:
-        return many.join(F.broadcast(few), key, how)
-    return spread_join(many, few, key, by, how)
+    Adaptive execution decides when the size of ``few`` in bytes is known: it is
+    broadcast within ``spark.sql.autoBroadcastJoinThreshold``; beyond that, both
+    sides are exchanged and the parts of hot keys of ``many`` are split.
+    """
+    return many.join(few, key, how)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from inkgraph.operators.skew import checked_broadcast, lookup_join
+from inkgraph.operators.skew import lookup_join
 from inkgraph.session import cut
 
 PREFIX = 4      # hex digits: 65,536 groups per class
@@ -50,13 +50,13 @@ def stratified_split(
         .filter((F.col("upto") >= F.col("n_test")) & (F.col("upto") - F.col("n") < F.col("n_test")))
         .select(label, "prefix", (F.col("n_test") - F.col("upto") + F.col("n")).alias("need"))
     )
-    in_border = hashed.join(checked_broadcast(cut(borders)), [label, "prefix"])      # one row per class
+    in_border = hashed.join(cut(borders), [label, "prefix"])      # one row per class
     order = Window.partitionBy(label, "prefix").orderBy("h", key)
     last = (
         in_border.withColumn("nth", F.row_number().over(order))
         .filter(F.col("nth") == F.col("need"))
         .select(label, F.struct("h", F.col(key).alias("k")).alias("last"))
     )
-    marked = lookup_join(df, cut(last), label, by=[key], how="left")
+    marked = lookup_join(df, cut(last), label, how="left")
     mine = F.struct(row_hash(key, seed).alias("h"), F.col(key).alias("k"))
     return marked.withColumn("is_test", F.coalesce(mine <= F.col("last"), F.lit(False))).drop("last")

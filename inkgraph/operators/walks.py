@@ -34,7 +34,7 @@ def intervals(edges: DataFrame) -> DataFrame:
     rows = edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w")).filter("w > 0")
     rows = rows.withColumn("hash", F.md5(F.col("dst").cast("string")))
     degree = rows.groupBy("src").agg(F.count("*").alias("degree"))
-    rows = lookup_join(rows, degree, "src", by=["dst"])
+    rows = lookup_join(rows, degree, "src")
     chunks = F.ceil(F.col("degree") / F.lit(CHUNK_EDGES))
     rows = rows.withColumn("chunk", F.floor(hash_place(F.col("hash")) * chunks))
     inside = Window.partitionBy("src", "chunk").orderBy("hash", "dst")
@@ -81,12 +81,11 @@ def random_walks(
     widths = cut(parts.groupBy("src").agg(F.max("slots").alias("slots")))
     moves = cut_in_place(
         lookup_join(
-            parts.drop("slots"), widths.select(F.col("src").alias("dst"), F.col("slots").alias("next_slots")), "dst",
-            by=["src", "slot"], how="left",
+            parts.drop("slots"), widths.select(F.col("src").alias("dst"), F.col("slots").alias("next_slots")), "dst", how="left",
         ).withColumnsRenamed({"src": "node", "dst": "next_node"}),
         "node", "slot",
     )
-    state = lookup_join(starts, widths.withColumnRenamed("src", "start"), "start", by=[walk], how="left").select(
+    state = lookup_join(starts, widths.withColumnRenamed("src", "start"), "start", how="left").select(
         walk, F.col("start").alias("node"), "slots", F.array("start").alias("path"), F.lit(0).alias("n_moves")
     )
     for step in range(1, max_steps + 1):

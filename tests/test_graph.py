@@ -107,18 +107,20 @@ def test_ranked_paths_golden(spark, chain):
     assert "Privilege Escalation" in found[0]["path"]
 
 
-def test_ranked_paths_equal_brute_force(spark):
+@pytest.mark.parametrize("cutoff, heavy", [(4, 1.0), (10, 1.0), (10, 1.5)])
+def test_ranked_paths_equal_brute_force(spark, cutoff, heavy):
+    """Also with weights over 1, where a longer walk may beat a shorter one."""
     import itertools, random
     rnd = random.Random(7)
     names = "abcdefg"
-    weight = {(u, v): rnd.choice([0.2, 0.5, 0.9, 1.0]) for u in names for v in names if u != v and rnd.random() < .6}
+    weight = {(u, v): rnd.choice([0.2, 0.5, 0.9, heavy]) for u in names for v in names if u != v and rnd.random() < .6}
     edges = spark.createDataFrame([(*k, w) for k, w in weight.items()], "src string, dst string, weight double")
     pairs = [("a", "g"), ("b", "c")]
-    found = paths.ranked_paths(edges, spark.createDataFrame(pairs, "start string, end string"), cutoff=4, top=3)
+    found = paths.ranked_paths(edges, spark.createDataFrame(pairs, "start string, end string"), cutoff, top=3)
     for start, end in pairs:
         every = []
         others = [x for x in names if x not in (start, end)]
-        for size in range(0, 4):
+        for size in range(min(cutoff, len(others) + 1)):
             for middle in itertools.permutations(others, size):
                 path = [start, *middle, end]
                 if all(step in weight for step in zip(path, path[1:])):
@@ -141,6 +143,15 @@ def test_scenarios(spark, chain):
     assert rows["APT Espionage Campaign"]["best_path"] == [] and rows["APT Espionage Campaign"]["hops"] == 0
     assert rows["Ransomware Attack"]["best_probability"] == .105341 and rows["Ransomware Attack"]["n_paths"] == 3
     assert rows["Insider Threat"]["hops"] == 9
+    for row in rows.values():
+        assert row["random_walk"][0] == row["start"] and len(set(row["random_walk"])) == len(row["random_walk"])
+
+
+def test_scenario_without_edges_walks_nowhere(spark):
+    edges = spark.createDataFrame([], "src string, dst string, weight double")
+    one = spark.createDataFrame([("n", "a", "b", "d")], "name string, start string, end string, description string")
+    row = paths.run_scenarios(edges, one).first()
+    assert row["best_path"] == [] and row["n_paths"] == 0 and row["random_walk"] == ["a"]
 
 
 @pytest.mark.parametrize("start, expected", [
@@ -225,5 +236,19 @@ def test_hot_join_equals_plain_join(spark):
     for how in ("inner", "left"):
         spread = skew.spread_join(many, few, "k", ["id"], how, hot)
         assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, many.join(few, "k", how).collect()), key=str)
-    beyond = skew.lookup_join(many, few, "k", ["id"], "left", limit=1)
-    assert beyond.count() == 1000
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookup_join_plans_without_jobs(spark, threshold):
+    """The same rows with and without room for a broadcast; nothing runs before an action."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        many = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+        few = many.groupBy("k").agg(F.count("*").alias("n"))
+        spark.sparkContext.setJobGroup(f"planning {threshold}", "no job expected")
+        joined = skew.lookup_join(many, few, "k", "left")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"planning {threshold}")
+        assert joined.filter("n is not null").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
