@@ -31,6 +31,7 @@ PLACES = 1 << 20            # D
 BANDS, ROWS = 40, 8         # a pair of similarity 0.85 is missed with probability (1 - 0.85**8)**40 = 3e-6
 PERCENT = 85                # 100 * intersection >= PERCENT * union
 BLOCK_SHINGLES = 3_000_000  # 8 bytes each
+HOT_PARTS = 2_000           # a set with more than this part of all rows is not sent to one task
 PAIR_KEY = np.uint64(0x9E3779B97F4A7C15)
 
 _rolled: list[np.ndarray] = []
@@ -241,9 +242,25 @@ def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
     found = cut(components(links))
 
     named = classes.join(found, classes["node"] == found["id"], "left").select(*key, F.coalesce("component", "node").alias("component_id"))
-    named = named.groupBy(*key).agg(F.min("component_id").alias("component_id"))
+    named = cut(named.groupBy(*key).agg(F.min("component_id").alias("component_id")))
     component = F.coalesce("component_id", "doc_id")
-    return marks.join(named, key, "left").select(
+    return _with_components(marks, named, key).select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
+
+
+def _with_components(marks: DataFrame, named: DataFrame, key: list[str]) -> DataFrame:
+    """``marks`` with the component of their set, if it has one.
+
+    Sets held by more than one in ``HOT_PARTS`` rows, of which there are fewer than
+    ``HOT_PARTS``, are broadcast, so that their copies stay where they are; the
+    rows of all others meet their component by an exchange.
+    """
+    rows = marks.select("doc_id", *key)
+    copies = rows.filter("n_shingles > 0").groupBy(*key).agg(F.count("*").alias("copies"))
+    hot = copies.filter(F.col("copies") * HOT_PARTS > rows.count()).select(*key)
+    hot = cut(named.join(F.broadcast(hot), key))
+    common = rows.join(F.broadcast(hot), key)
+    other = rows.join(F.broadcast(hot), key, "left_anti").join(named, key, "left")
+    return common.unionByName(other)

@@ -219,6 +219,16 @@ def test_near_duplicates(docs, rows, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2_000])       # no set is held by more than all rows; every set is by more than 1 in 2,000
+def test_copies_find_their_component(spark, monkeypatch, parts):
+    monkeypatch.setattr(near_duplicates, "HOT_PARTS", parts)
+    texts = ["a b c d e f g"] * 30 + ["h i j k l m n"] * 3 + ["o p q r s t u", "", None]
+    rows = [(i, text, "en", "s", 1) for i, text in enumerate(texts)]
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    first = [0] * 30 + [30] * 3 + [33, 34, 35]
+    assert got == {i: (c, c == i) for i, c in enumerate(first)}
+
+
 def test_near_duplicates_through_a_chain(spark):
     """Links of neighbours only: ends of the chain are far apart, and a hub-only comparison would lose some."""
     rng = random.Random(3)
