@@ -85,7 +85,11 @@ def begins(notice: Notice, frequency: dict[str, int], words: Column, hits: Colum
     lists = [postings(*one) for one in rarest(notice, frequency)]
     meeting = F.array_intersect(*lists) if len(lists) > 1 else lists[0]
     key = F.array(*map(F.lit, notice.key))
-    return F.filter(meeting, lambda a: F.slice(words, a + notice.at + 1, len(notice.key)) == key)
+    def stands(begin: Column) -> Column:
+        at = begin + notice.at          # below 0 if the text starts within the key phrase; slice takes places from 1 only
+        return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, len(notice.key)) == key)
+
+    return F.filter(meeting, stands)
 
 
 def share(notice: Notice, words: Column, begin: Column) -> Column:
