@@ -7,13 +7,17 @@ at most r bits, some substring differs in at most floor(r / m) bits (and all but
 the first r mod m + 1 in one less), so probing each index with the keys that close to the
 query's finds every code within r.  These are reranked by their true products.
 
-The radius is learned: the distance within which the given share of true
-neighbours lies in a bounded sample.  A query that finds too few rows in a
-block widens its radius there until it has enough.
+The radius is learned from queries drawn from a bounded sample: the distance
+within which the given share of true neighbours lies, and, by how far a query's
+own k-th code is, the margin beyond that code within which this share lies.  A
+query takes the larger of the radius and its k-th code's distance in the block
+plus the margin, so that queries in sparse regions look further.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +28,7 @@ SAMPLE = 12_000        # rows that codes and radius are learned from, at most (i
 SAMPLE_QUERIES = 300
 SHARE = 0.97           # of the sample's true neighbours lie within the radius
 TURNS = 20             # rounds of fitting a rotation
+DENSITIES = 10         # groups of sampled queries, by the distance of their k-th code, with a margin each
 ROWS = 512             # queries in work at a time
 NEAR = np.array([[bin(a ^ b).count("1") for b in range(256)] for a in range(256)], np.uint8)
 
@@ -57,17 +62,37 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn_radius(sample: np.ndarray, directions: np.ndarray, top: int, share: float = SHARE) -> int:
-    """The distance within which ``share`` of the sample's true neighbours lie."""
-    asked = sample[:SAMPLE_QUERIES]
-    product = asked @ sample.T
-    np.fill_diagonal(product, -np.inf)
+@dataclass(frozen=True)
+class Radius:
+    """``margins[i]`` holds for queries whose k-th code is at ``from_[i]`` or further (and nearer than ``from_[i + 1]``)."""
+
+    least: int
+    from_: np.ndarray
+    margins: np.ndarray
+
+    def of(self, kth: np.ndarray) -> np.ndarray:
+        """The radius of each query, given the distance of its k-th code."""
+        group = np.maximum(0, np.searchsorted(self.from_, kth, side="right") - 1)
+        return np.maximum(self.least, kth + self.margins[group])
+
+
+def learn_radius(sample: np.ndarray, directions: np.ndarray, top: int, share: float = SHARE) -> Radius:
+    """What ``share`` of the true neighbours of queries from all over the sample lie within."""
     k = min(top, len(sample) - 1)
     if k < 1:
-        return directions.shape[1]
+        return Radius(directions.shape[1], np.zeros(1, int), np.zeros(1, int))
+    at = np.random.default_rng(9).permutation(len(sample))[:SAMPLE_QUERIES]
+    product = sample[at] @ sample.T
+    product[np.arange(len(at)), at] = -np.inf
     true = np.argpartition(-product, k - 1, axis=1)[:, :k]
-    away = np.take_along_axis(distances(codes(asked, directions), codes(sample, directions)), true, axis=1)
-    return int(np.quantile(away, share, method="higher"))
+    far = distances(codes(sample[at], directions), codes(sample, directions)).astype(int)
+    away = np.take_along_axis(far, true, axis=1)
+    far[np.arange(len(at)), at] = 65_535
+    kth = np.partition(far, k - 1, axis=1)[:, k - 1]
+    groups = np.array_split(np.argsort(kth, kind="stable"), min(DENSITIES, len(at)))
+    margins = [int(np.quantile(away[g] - kth[g, None], share, method="higher")) for g in groups]
+    from_ = np.array([kth[g[0]] for g in groups])
+    return Radius(int(np.quantile(away, share, method="higher")), from_, np.maximum(0, np.maximum.accumulate(margins)))
 
 
 def within(query_codes: np.ndarray, row_codes: np.ndarray, radius: int) -> np.ndarray:
@@ -82,7 +107,7 @@ def within(query_codes: np.ndarray, row_codes: np.ndarray, radius: int) -> np.nd
     return hit
 
 
-def best_pairs(directions: np.ndarray, radius: int, top: int):
+def best_pairs(directions: np.ndarray, radius: Radius, top: int):
     def best(query_ids, queries, ids, rows):
         row_codes, out = codes(rows, directions), []
         for low in range(0, len(queries), ROWS):
@@ -90,13 +115,9 @@ def best_pairs(directions: np.ndarray, radius: int, top: int):
             query_codes = codes(asked, directions)
             far = distances(query_codes, row_codes)
             own = query_ids[low: low + ROWS, None] == ids[None]
-            hit = within(query_codes, row_codes, radius) & (far <= radius) & ~own
-            short = np.flatnonzero(hit.sum(axis=1) < top)
-            if len(short):
-                far_short = np.where(own[short], np.uint16(65_535), far[short])
-                k = min(top, len(ids)) - 1
-                wide = np.partition(far_short, k, axis=1)[:, k]
-                hit[short] |= (far_short <= wide[:, None]) & ~own[short]
+            far[own] = 65_535
+            kth = np.partition(far, min(top, len(ids)) - 1, axis=1)[:, min(top, len(ids)) - 1].astype(int)
+            hit = (far <= radius.of(kth)[:, None]) & ~own
             q, x = np.nonzero(hit)
             value = np.concatenate([np.zeros(0)] + [
                 np.einsum("ij,ij->i", asked[q[a: a + 200_000]], rows[x[a: a + 200_000]]) for a in range(0, len(q), 200_000)
