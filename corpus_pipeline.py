@@ -33,11 +33,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of near duplicates; of rows with one id, one."""
-    kept = near_duplicates.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "kept_id")
-    rows = docs.select(DOCUMENT).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """One row of each component of near duplicates: the one with the smallest id, rows without an id last.
+
+    Components are those of rows, not of ids: different texts under one id, or
+    under none, are told apart.  Rows without words are near duplicates of
+    nothing; of those with the same id and text one stays.
+    """
+    rows = cut(docs.select(DOCUMENT).withColumn("row", F.monotonically_increasing_id()))
+    keyed = rows.select(F.col("row").alias("doc_id"), "text")
+    found = near_duplicates.near_duplicates(keyed)
+    found = found.select(F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"))
+    own = found.join(rows.select("row", "doc_id", F.xxhash64("text").alias("text_key")), "row")
+    wordless = F.when(F.col("component").isNull(), F.struct("doc_id", "text_key"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = own.groupBy("component", wordless.alias("wordless")).agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(DOCUMENT)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
