@@ -2,7 +2,7 @@
 
 language     texts in which no language can be told (null, empty, without letters) go; a missing lang is filled in
 toxicity     texts scored 0.5 or more go
-duplicates   one text of each group of near duplicates stays: the one with the smallest id
+duplicates   one text of each group of near duplicates (similarity 0.80 or more) stays: the one with the smallest id
 secrets      found secrets are masked in the text
 packing      the texts are packed into training sequences: one row per piece
 """
@@ -41,7 +41,7 @@ def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rows = cut(docs.select(DOCUMENT).withColumn("row", F.monotonically_increasing_id()))
     keyed = rows.select(F.col("row").alias("doc_id"), "text")
-    found = near_duplicates.near_duplicates(keyed)
+    found = near_duplicates.near_duplicates(keyed, level=near_duplicates.STAGE)
     found = found.select(F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"))
     own = found.join(rows.select("row", "doc_id", F.xxhash64("text").alias("text_key")), "row")
     wordless = F.when(F.col("component").isNull(), F.struct("doc_id", "text_key"))

@@ -17,6 +17,8 @@ forest with fewer links than texts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,21 +30,35 @@ from inkgraph.session import cut
 
 WORDS = 5
 PLACES = 1 << 20            # D
-BANDS, ROWS = 40, 8         # a pair of similarity 0.85 is missed with probability (1 - 0.85**8)**40 = 3e-6
-PERCENT = 85                # 100 * intersection >= PERCENT * union
 BLOCK_SHINGLES = 3_000_000  # 8 bytes each
 HOT_PARTS = 2_000           # a set with more than this part of all rows is not sent to one task
 PAIR_KEY = np.uint64(0x9E3779B97F4A7C15)
 
-_rolled: list[np.ndarray] = []
+@dataclass(frozen=True)
+class Level:
+    """Texts are linked if 100 * intersection >= ``percent`` * union; ``bands`` of ``rows`` coordinates find candidates."""
+
+    percent: int
+    bands: int
+    rows: int
+
+    @property
+    def coordinates(self) -> int:
+        return self.bands * self.rows
+
+
+QUERY = Level(85, 40, 8)    # a pair of similarity 0.85 is missed with probability (1 - 0.85**8)**40 = 3e-6
+STAGE = Level(80, 56, 7)    # a pair of similarity 0.80 is missed with probability (1 - 0.8**7)**56 = 2e-6
 
+_rolled: dict[int, np.ndarray] = {}
 
-def rolled() -> np.ndarray:
+
+def rolled(coordinates: int) -> np.ndarray:
     """Row i holds the second permutation at i, i + 1, ... (circularly): all coordinates of place i."""
-    if not _rolled:
+    if coordinates not in _rolled:
         order = np.random.default_rng(4_711).permutation(PLACES).astype(np.uint32)
-        _rolled.append(np.lib.stride_tricks.sliding_window_view(np.concatenate((order, order[: BANDS * ROWS])), BANDS * ROWS))
-    return _rolled[0]
+        _rolled[coordinates] = np.lib.stride_tricks.sliding_window_view(np.concatenate((order, order[:coordinates])), coordinates)
+    return _rolled[coordinates]
 
 
 def shingle_sets(data: list[bytes], words: int = WORDS) -> list[np.ndarray]:
@@ -67,25 +83,25 @@ def shingle_sets(data: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """``BANDS * ROWS`` minima, each over all shingles."""
+def signature(shingles: np.ndarray, level: Level) -> np.ndarray:
+    """As many minima as the level has coordinates, each over all shingles."""
     place = (mix(shingles ^ PAIR_KEY) & np.uint64(PLACES - 1)).astype(np.int64)
     best = None
     for low in range(0, len(place), 2048):
-        part = rolled()[place[low: low + 2048]].min(axis=0)
+        part = rolled(level.coordinates)[place[low: low + 2048]].min(axis=0)
         best = part if best is None else np.minimum(best, part)
     return best
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    return np.array([signature(s) for s in sets], np.uint32).reshape(len(sets), BANDS * ROWS)
+def signatures(sets: list[np.ndarray], level: Level = QUERY) -> np.ndarray:
+    return np.array([signature(s, level) for s in sets], np.uint32).reshape(len(sets), level.coordinates)
 
 
-def band_keys(signs: np.ndarray) -> np.ndarray:
+def band_keys(signs: np.ndarray, level: Level) -> np.ndarray:
     """One key for each text (row) and band."""
-    rows = signs.reshape(len(signs), BANDS, ROWS).astype(np.uint64)
-    key = np.repeat(np.arange(BANDS, dtype=np.uint64)[None], len(signs), axis=0)
-    for i in range(ROWS):
+    rows = signs.reshape(len(signs), level.bands, level.rows).astype(np.uint64)
+    key = np.repeat(np.arange(level.bands, dtype=np.uint64)[None], len(signs), axis=0)
+    for i in range(level.rows):
         key = mix(key * PAIR_KEY + rows[:, :, i])
     return key.view(np.int64)
 
@@ -101,19 +117,21 @@ def prints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _fingerprint(batches):
-    """doc_id, set size, a 128-bit hash of the set, band keys (none for an empty set)."""
-    for batch in batches:
-        for low, high, data in chunks(batch["text"]):
-            sets = shingle_sets(data)
-            full = [s for s in sets if len(s)]
-            bands = band_keys(signatures(full)).ravel()
-            ends = np.concatenate(([0], np.cumsum([BANDS * (len(s) > 0) for s in sets]))).astype(np.int32)
-            print_a, print_b = prints(sets)
-            yield pa.RecordBatch.from_arrays([
-                batch["doc_id"].slice(low, high - low), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(print_a), pa.array(print_b), pa.ListArray.from_arrays(pa.array(ends), pa.array(bands)),
-            ], ["doc_id", "n_shingles", "print_a", "print_b", "bands"])
+def _fingerprint(level: Level):
+    def run(batches):
+        """doc_id, set size, a 128-bit hash of the set, band keys (none for an empty set)."""
+        for batch in batches:
+            for low, high, data in chunks(batch["text"]):
+                sets = shingle_sets(data)
+                full = [s for s in sets if len(s)]
+                bands = band_keys(signatures(full, level), level).ravel()
+                ends = np.concatenate(([0], np.cumsum([level.bands * (len(s) > 0) for s in sets]))).astype(np.int32)
+                print_a, print_b = prints(sets)
+                yield pa.RecordBatch.from_arrays([
+                    batch["doc_id"].slice(low, high - low), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(print_a), pa.array(print_b), pa.ListArray.from_arrays(pa.array(ends), pa.array(bands)),
+                ], ["doc_id", "n_shingles", "print_a", "print_b", "bands"])
+    return run
 
 
 class Forest:
@@ -135,18 +153,18 @@ class Forest:
             self.links.append((i, j))
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Exact: 100 * |a and b| >= PERCENT * |a or b| for sorted distinct arrays."""
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Exact: 100 * |a and b| >= percent * |a or b| for sorted distinct arrays."""
     if len(a) > len(b):
         a, b = b, a
-    if 100 * len(a) < PERCENT * len(b):
+    if 100 * len(a) < percent * len(b):
         return False
     place = np.minimum(np.searchsorted(b, a), len(b) - 1)
     both = int(np.count_nonzero(b[place] == a))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def linked(sets: list[np.ndarray], level: Level) -> list[tuple[int, int]]:
     """A forest of links with the same components as all exact links between sets that share a band.
 
     First each band's sets are compared with one of them; then what is still
@@ -154,20 +172,20 @@ def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     connected are skipped, and so are those whose signatures agree in so few
     coordinates that they could be linked only by a six-sigma error.
     """
-    forest, signs = Forest(len(sets)), signatures(sets)
-    keys, size = band_keys(signs), np.array([len(s) for s in sets])
+    forest, signs = Forest(len(sets)), signatures(sets, level)
+    keys, size = band_keys(signs, level), np.array([len(s) for s in sets])
     tried: set[tuple[int, int]] = set()
-    share = PERCENT / 100
+    share = level.percent / 100
     agree = share - 6.5 * np.sqrt(share * (1 - share) / signs.shape[1])
 
     def attempt(i: int, others: np.ndarray) -> None:
-        near = others[100 * np.minimum(size[others], size[i]) >= PERCENT * np.maximum(size[others], size[i])]
+        near = others[100 * np.minimum(size[others], size[i]) >= level.percent * np.maximum(size[others], size[i])]
         near = near[(signs[near] == signs[i]).mean(axis=1) >= agree]
         for j in near.tolist():
             pair = (min(i, j), max(i, j))
             if pair not in tried and forest.root(i) != forest.root(j):
                 tried.add(pair)
-                if similar(sets[i], sets[j]):
+                if similar(sets[i], sets[j], level.percent):
                     forest.join(i, j)
 
     groups = []
@@ -189,11 +207,13 @@ def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return forest.links
 
 
-def _links(group: pa.Table) -> pa.Table:
-    """Links (a, b) between the nodes of one group or of two of its blocks."""
-    node = group["node"].to_pylist()
-    found = linked([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()])
-    return pa.table({"a": pa.array([node[i] for i, _ in found], pa.int64()), "b": pa.array([node[j] for _, j in found], pa.int64())})
+def _links(level: Level):
+    def run(group: pa.Table) -> pa.Table:
+        """Links (a, b) between the nodes of one group or of two of its blocks."""
+        node = group["node"].to_pylist()
+        found = linked([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()], level)
+        return pa.table({"a": pa.array([node[i] for i, _ in found], pa.int64()), "b": pa.array([node[j] for _, j in found], pa.int64())})
+    return run
 
 
 def _candidate_sets(batches):
@@ -207,16 +227,16 @@ def _candidate_sets(batches):
             yield rows.filter(pa.array(right))
 
 
-def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES, level: Level = QUERY) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
-    Components are those of all links of similarity ``PERCENT`` or more; texts
+    Components are those of all links of similarity ``level.percent`` or more; texts
     with equal non-empty sets are linked, texts without words (null or empty)
     with nothing.  An id on several rows is one node.  A row without an id gets
     the smallest id it is linked to; it is kept if there is none.
     """
     own = texts(docs)
-    marks = cut(own.mapInArrow(_fingerprint, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"))
+    marks = cut(own.mapInArrow(_fingerprint(level), "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"))
     key = ["n_shingles", "print_a", "print_b"]
     classes = marks.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
     classes = cut(classes.filter("node is not null"))
@@ -238,7 +258,7 @@ def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
     meeting = sets.select("node", "group", "block", "shingles", F.explode(other).alias("other")).select(
         "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "shingles"
     )
-    links = meeting.groupBy("group", "low", "high").applyInArrow(_links, "a long, b long")
+    links = meeting.groupBy("group", "low", "high").applyInArrow(_links(level), "a long, b long")
     found = cut(components(links))
 
     named = classes.join(found, classes["node"] == found["id"], "left").select(*key, F.coalesce("component", "node").alias("component_id"))

@@ -25,3 +25,12 @@ def test_rows_without_an_id_and_rows_of_one_id_are_told_apart(spark):
     got = kept(spark, rows)
     assert [r for r in got if r[1] not in (c, near_c)] == sorted([(None, a), (None, b), (7, d), (7, e), (9, ""), (None, "")], key=repr)
     assert sum(r[1] in (c, near_c) for r in got) == 1
+
+
+def test_the_stage_links_at_0_80(spark):
+    """One word changed in the middle of n leaves (n - 9) / (n + 1) of the sets of five words."""
+    rng, rows = random.Random(2), []
+    for i, n in enumerate([52, 62, 47] * 20):        # 0.811, 0.841, and 0.792
+        one = sentence(rng, n)
+        rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join([*one[: n // 2], "changed", *one[n // 2 + 1:]]))]
+    assert [i for i, _ in sorted(kept(spark, rows))] == [i for i in range(120) if i % 2 == 0 or i // 2 % 3 == 2]
