@@ -35,7 +35,6 @@ CONTEXT = re.compile(
 )
 ANY = r"(?i:pass|pwd|secret|token|key|credential|auth|bearer)|AKIA|[0-9a-f]{24}"
 DEAR = 8.0               # log10 of the guesses from which a value counts as a secret
-LONGEST = 256            # values beyond this many characters: the cost of brute force is added for the rest
 
 # Frequent passwords and words in them, most frequent first.
 COMMON = """password admin welcome login letmein qwerty dragon monkey master shadow football baseball sunshine princess
@@ -103,7 +102,6 @@ def _spans(value: str):
 
 def guess_cost(value: str) -> float:
     """log10 of the guesses for a value: the cheapest segmentation; brute force costs 10 guesses a character, a further part twice."""
-    rest, value = max(0, len(value) - LONGEST), value[:LONGEST]
     ends: dict[int, list[tuple[int, float]]] = {}
     for i, j, cost in _spans(value):
         ends.setdefault(j, []).append((i, cost))
@@ -113,7 +111,7 @@ def guess_cost(value: str) -> float:
     for j in range(1, len(value) + 1):
         brute[j] = min(brute[j - 1], least[j - 1] + part * (j > 1)) + 1.0
         least[j] = min([brute[j]] + [least[i] + cost + part * (i > 0) for i, cost in ends.get(j, ())])
-    return least[-1] + rest
+    return least[-1]
 
 
 known_cost = lru_cache(200_000)(guess_cost)
