@@ -1,11 +1,10 @@
-"""Approximate nearest neighbours: multi-index hashing over learned rotated binary codes.
+"""Approximate nearest neighbours: learned rotated binary codes, scanned and reranked.
 
 Codes are the signs of several learned rotations (principal directions, turned
-so that signs lose least) of each vector.  A code is cut into one-byte
-substrings and each substring has an index of its own.  If two codes differ in
-at most r bits, some substring differs in at most floor(r / m) bits (and all but
-the first r mod m + 1 in one less), so probing each index with the keys that close to the
-query's finds every code within r.  These are reranked by their true products.
+so that signs lose least) of each vector.  Every query's code is compared with
+every code of a block; rows within the query's radius are reranked by their
+true products.  No substring index is built: at the radii learned, its probes
+(``within``) would cover nearly all rows.
 
 The radius is learned from queries drawn from a bounded sample: the distance
 within which the given share of true neighbours lies, and, by how far a query's
