@@ -25,7 +25,7 @@ BUCKETS = 1 << 17
 WIDTH = 8                 # of an embedding
 WINDOW, STRIDE = 6, 3     # words averaged together
 SAMPLE_DOCS = 4_000       # training texts of each label, at most (in expectation)
-SAMPLE_WORDS = 600        # neighbouring words taken from each of them, from a place given by the text's hash
+SAMPLE_BYTES = 16 << 20   # of all training texts of each label, at most (in expectation): beyond it fewer texts, each of them whole
 EPOCHS = 14
 RATE = 0.3
 
@@ -75,20 +75,24 @@ def worst(score: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[list[tuple[str, int]], float]:
-    """``train`` is a condition on the labels' doc_id. (window of words, toxic) of about ``SAMPLE_DOCS`` texts of each label, and the share of toxic ones among all."""
+    """``train`` is a condition on the labels' doc_id. (whole text, toxic) of texts of each label, about ``SAMPLE_DOCS`` or ``SAMPLE_BYTES`` at most, and the share of toxic ones among all."""
     known = labels.filter(train & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("label_id"))
     known = known.agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if not counts:
         return [], 0.0
-    share = F.when(F.col("toxic") == 1, F.lit(SAMPLE_DOCS / counts.get(1, 1))).otherwise(F.lit(SAMPLE_DOCS / counts.get(0, 1)))
     chance = F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) / float(1 << 20)
-    few = F.broadcast(known.filter(chance < share))     # bounded by SAMPLE_DOCS
-    rows = texts(docs).join(few, F.col("doc_id") == F.col("label_id"))
-    room = F.greatest(F.size("words") - SAMPLE_WORDS, F.lit(0)) + 1
-    picked = rows.select("toxic", F.split(F.trim("text"), r"[ \t\n\x0B\f\r]+").alias("words"), F.xxhash64("text").alias("at"))
-    window = F.array_join(F.slice("words", (F.pmod("at", room) + 1).cast("int"), SAMPLE_WORDS), " ").alias("text")
-    return sorted((r.text, r.toxic) for r in picked.select("toxic", window).collect()), counts.get(1, 0) / sum(counts.values())
+    marked = F.col("toxic") == 1
+
+    def picked(share: dict[int, float]) -> DataFrame:
+        few = known.filter(chance < F.when(marked, F.lit(share[1])).otherwise(F.lit(share[0])))
+        return texts(docs).join(F.broadcast(few), F.col("doc_id") == F.col("label_id"))     # bounded by SAMPLE_DOCS
+
+    share = {y: SAMPLE_DOCS / counts.get(y, 1) for y in (0, 1)}
+    rows = picked(share).groupBy("toxic").agg(F.sum(F.octet_length("text")).alias("size")).collect()
+    for r in rows:
+        share[r.toxic] = min(share[r.toxic], 1.0) * min(1.0, SAMPLE_BYTES / max(1, r["size"]))
+    return sorted((r.text, r.toxic) for r in picked(share).select("toxic", "text").collect()), counts.get(1, 0) / sum(counts.values())
 
 
 def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | None:
