@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkgraph.llm import bpe, language, licences, lm_bloom, multi_index, near_duplicates, packing, secret_scan, top_k, toxicity
+from inkgraph.llm import (
+    bpe, language, licences, lm_bloom, multi_index, near_duplicates, packing, secret_scan, top_k, toxicity, url_filters,
+)
 from inkgraph.llm.common import fold, table
 
 
@@ -57,6 +59,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model, "held_out")
 
 
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judge(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_licences": op2_licences,
@@ -68,6 +74,7 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_lm_scores": op9_lm_scores,
     "op10_toxicity": op10_toxicity,
+    "op11_url_filters": op11_url_filters,
 }
 
 VALID = """
@@ -86,6 +93,7 @@ pairs AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op2_licences": licences.sql(),
+    "op11_url_filters": url_filters.sql(),
     "op7_near_duplicates": """
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
