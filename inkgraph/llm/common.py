@@ -53,3 +53,26 @@ def threshold_for(counts: DataFrame, count: str, most: int) -> int:
             break
         kept, least = kept + row["count"], row["level"]
     return least if least is not None else 2**62
+
+
+def spread_lookup(many: DataFrame, few: DataFrame, key: str, rows: str, by: str) -> DataFrame:
+    """``many`` left-joined with ``few`` on ``key``; ``few`` has one row per key and in ``rows`` the rows of ``many`` it has.
+
+    A key with more rows of ``many`` than an average task's share is split over
+    salts, one per share (at most one per shuffle partition), and its row of
+    ``few`` is copied once per salt, so the hot key of a skewed table is read
+    by many tasks.  Such keys are fewer than the shuffle partitions, so their
+    table is small by construction and broadcast.  ``by`` names a column of
+    ``many`` that spreads the rows of one key (a row number, say).
+    """
+    spark = many.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = few.agg(F.sum(rows)).first()[0] or 0
+    share = max(1, total // parts)
+    hot = few.filter(F.col(rows) > share).select(key, F.least(F.lit(parts), F.ceil(F.col(rows) / share)).cast("int").alias("__salts"))
+    hot = spark.createDataFrame(hot.collect(), hot.schema)      # fewer than ``parts`` rows
+    many = many.join(F.broadcast(hot), key, "left").withColumn(
+        "__salt", F.when(F.col("__salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), F.col("__salts"))).cast("int"))
+    few = few.drop(rows).join(F.broadcast(hot), key, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
+    return many.drop("__salts").join(few.drop("__salts"), [key, "__salt"], "left").drop("__salt")

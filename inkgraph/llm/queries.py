@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inkgraph.llm import (
     bpe, language, licences, lm_bloom, multi_index, near_duplicates, packing, secret_scan, top_k, toxicity, url_filters,
+    filter_audit,
 )
 from inkgraph.llm.common import fold, table
 
@@ -63,6 +64,10 @@ def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge(table(spark, folder, "pages"))
 
 
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_licences": op2_licences,
@@ -75,6 +80,7 @@ QUERIES = {
     "op9_lm_scores": op9_lm_scores,
     "op10_toxicity": op10_toxicity,
     "op11_url_filters": op11_url_filters,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 VALID = """
@@ -94,6 +100,7 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op2_licences": licences.sql(),
     "op11_url_filters": url_filters.sql(),
+    "op13_filter_audit": filter_audit.sql(),
     "op7_near_duplicates": """
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
