@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inkgraph.llm import (
     bpe, language, licences, lm_bloom, multi_index, near_duplicates, packing, secret_scan, top_k, toxicity, url_filters,
-    filter_audit,
+    filter_audit, lexical_search,
 )
 from inkgraph.llm.common import fold, table
 
@@ -64,6 +64,11 @@ def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge(table(spark, folder, "pages"))
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op9_lm_scores": op9_lm_scores,
     "op10_toxicity": op10_toxicity,
     "op11_url_filters": op11_url_filters,
+    "op12_lexical_search": op12_lexical_search,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -100,6 +106,7 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op2_licences": licences.sql(),
     "op11_url_filters": url_filters.sql(),
+    "op12_lexical_search": lexical_search.sql(),
     "op13_filter_audit": filter_audit.sql(),
     "op7_near_duplicates": """
 WITH RECURSIVE words AS (
