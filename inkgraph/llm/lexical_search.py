@@ -10,9 +10,9 @@ the document.  ``w = floor(1000 * ln((2N + 2) / (2 df + 1)))`` in doubles; with
 the sum of the impacts of the item's distinct terms.
 
 Method: postings (term, document, impact) are built only for terms that some
-item holds, and written in impact levels (``level`` 0 holds the highest
-impacts; the cuts are quantiles of all postings).  Round r reads levels 0..r --
-the head of every list in impact order, found by partition pruning -- and keeps
+item holds, in one pass over the texts, and written bucketed by document.  Impact
+levels end at quantiles of all impacts (level 0 holds the highest).  Round r
+reads levels 0..r -- the head of every list in impact order -- and keeps
 per (item, document) the lower bound (impacts seen) and the upper bound (plus,
 for every list of the item not yet seen for that document, the largest impact
 left in it).  An item is finished once its best ``k`` documents by lower bound
@@ -31,9 +31,11 @@ Empty tables give no rows; only doc_id, text, item_id and text are read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from inkgraph.session import cut, scratch_folder
+from inkgraph.session import cut
 
 # Fixed values of the contract.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -54,20 +56,33 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def postings(docs: DataFrame, item_terms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, key, doc_id, impact) for every term of ``item_terms`` in every document, and (term, w)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("t"))
-    rows = cut(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", F.size("t").alias("n"), "t"))
-    stats = rows.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+def postings(docs: DataFrame, item_terms: DataFrame) -> DataFrame:
+    """(term, key, doc_id, impact > 0) for every term of ``item_terms`` in every document, bucketed by document.
+
+    One pass over the texts gives a row per (document, item term) and one row
+    per document (term null) for N and L.  The table is written bucketed by
+    document key, so that sums per (item, document) need no exchange later.
+    """
+    spark = docs.sparkSession
+    vocab = _small(item_terms.select("term").distinct().withColumn("wanted", F.lit(True)))
+    rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
+                       terms(F.col("text")).alias("t"))
+    flat = rows.select("key", "doc_id", F.size("t").alias("n"),
+                       F.explode(F.concat(F.array(F.lit(None).cast("string")), "t")).alias("term"))
+    flat = flat.join(vocab, "term", "left").filter(F.col("term").isNull() | F.col("wanted").isNotNull())
+    tf = cut(flat.groupBy("key", "doc_id", "n", "term").agg(F.count("*").alias("tf")))
+    stats = tf.filter(F.col("term").isNull()).agg(
+        F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     n_docs, n_terms = int(stats["N"]), max(1, int(stats["L"]))     # with no terms there are no postings either
-    vocab = _small(item_terms.select("term").distinct())
-    occurrences = rows.select("key", "doc_id", "n", F.explode("t").alias("term")).join(vocab, "term", "left_semi")
-    tf = cut(occurrences.groupBy("term", "key", "doc_id", "n").agg(F.count("*").alias("tf")))
+    tf = tf.filter(F.col("term").isNotNull())
     weights = cut(tf.groupBy("term").agg(F.count("*").alias("df")).select(
         "term", F.floor(1000 * F.log(F.lit(2.0 * n_docs + 2) / (2.0 * F.col("df") + 1))).alias("w")))
     impact = F.expr(f"w * ((1000000000 * tf) div (1000 * tf + 20 * (50 + (50 * n * {n_docs}L) div {n_terms}L)))")
-    scored = tf.join(_small(weights), "term").select("term", "key", "doc_id", impact.alias("impact"))
-    return scored.filter(F.col("impact") > 0), weights
+    scored = tf.join(_small(weights), "term").select("term", "key", "doc_id", impact.alias("impact")).filter(F.col("impact") > 0)
+    name = f"inkgraph_postings_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scored.repartition(parts, "key").write.bucketBy(parts, "key").format("parquet").saveAsTable(name)
+    return spark.table(name)
 
 
 def _order(score: Column) -> Column:
@@ -78,32 +93,28 @@ def _order(score: Column) -> Column:
 
 def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     """(item_id, rank, doc_id, score, rounds): each item's ``k`` best documents with a score above 0."""
-    spark = docs.sparkSession
     item_id = F.col("item_id").cast("long")
     item_terms = cut(items.select(F.coalesce(item_id.cast("string"), F.lit("null")).alias("item"), item_id.alias("item_id"),
                                   F.explode(terms(F.col("text"))).alias("term")).distinct())
-    scored, weights = postings(docs, item_terms)
-    scored = cut(scored)
+    scored = postings(docs, item_terms)
     cuts = scored.approxQuantile("impact", list(LEVELS), 0.001) if scored.take(1) else []
     level = F.lit(len(cuts))
     for number, value in reversed(list(enumerate(cuts))):
         level = F.when(F.col("impact") >= F.lit(value), number).otherwise(level)
-    folder = scratch_folder(spark)
-    scored = scored.withColumn("level", level.cast("int"))
-    scored.write.partitionBy("level").parquet(folder)
-    leveled = spark.read.schema(scored.schema).parquet(folder)
-    top = cut(leveled.groupBy("term", "level").agg(F.max("impact").alias("top")))   # largest impact per list and level
+    top = cut(scored.groupBy("term", level.alias("level")).agg(F.max("impact").alias("top")))   # largest impact per list and level
     last = len(cuts)
     active = item_terms
     found = []
     for r in range(last + 1):
         left = top.filter(F.col("level") > r).groupBy("term").agg(F.max("top").alias("rest"))
         lists = cut(active.join(left, "term", "left").select("item", "term", F.coalesce("rest", F.lit(0)).alias("rest")))
-        unseen = lists.groupBy("item").agg(F.sum("rest").alias("unseen"))
-        seen = leveled.filter(F.col("level") <= r).join(_small(lists), "term")
-        bounds = seen.groupBy("item", "key", "doc_id").agg(F.sum("impact").alias("lower"), F.sum("rest").alias("seen_rest"))
-        bounds = cut(bounds.join(_small(unseen), "item")
-                     .withColumn("upper", F.col("lower") + F.col("unseen") - F.col("seen_rest")))
+        unseen = cut(lists.groupBy("item").agg(F.sum("rest").alias("unseen")))
+        seen = scored.filter(F.col("impact") >= F.lit(cuts[r])) if r < last else scored
+        # bucketed by key: the sums per (item, document) are taken where the postings lie
+        bounds = (seen.join(_small(lists), "term").groupBy("item", "key", "doc_id")
+                  .agg(F.sum("impact").alias("lower"), F.sum("rest").alias("seen_rest"))
+                  .join(_small(unseen), "item")
+                  .withColumn("upper", F.col("lower") + F.col("unseen") - F.col("seen_rest")))
         ranked = bounds.withColumn("rn", F.row_number().over(Window.partitionBy("item").orderBy(_order(F.col("lower")))))
         best = cut(ranked.filter(F.col("rn") <= k))
         kth = best.filter(F.col("rn") == k).select("item", _order(F.col("lower")).alias("kth"), F.col("lower").alias("kth_score"))
