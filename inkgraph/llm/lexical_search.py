@@ -18,8 +18,9 @@ for every list of the item not yet seen for that document, the largest impact
 left in it).  An item is finished once its best ``k`` documents by lower bound
 all have exact scores, no other document seen can reach the k-th (equal scores
 go to the smaller doc_id, so ties are settled too), and a document not seen at
-all cannot reach it either.  The last round reads every level, so every item
-finishes.  Nothing is cut: every document and term counts, every item is
+all cannot reach it either.  The k-th lower bound of a round bounds the k-th
+score from below, so later rounds drop documents whose upper bound is lower
+before ranking.  The last round reads every level, so every item finishes.  Nothing is cut: every document and term counts, every item is
 answered.
 
 Rows: each document row is a document (repeated rows are ranked apart; a null
@@ -105,6 +106,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     last = len(cuts)
     active = item_terms
     found = []
+    floor = None      # (item, kth_score) of the round before: the k-th score can only be higher
     for r in range(last + 1):
         left = top.filter(F.col("level") > r).groupBy("term").agg(F.max("top").alias("rest"))
         lists = cut(active.join(left, "term", "left").select("item", "term", F.coalesce("rest", F.lit(0)).alias("rest")))
@@ -115,9 +117,16 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
                   .agg(F.sum("impact").alias("lower"), F.sum("rest").alias("seen_rest"))
                   .join(_small(unseen), "item")
                   .withColumn("upper", F.col("lower") + F.col("unseen") - F.col("seen_rest")))
+        if floor is not None:     # a document that cannot reach the k-th score known already takes no part
+            bounds = bounds.join(_small(floor), "item", "left").filter(
+                F.col("floor").isNull() | (F.col("upper") >= F.col("floor"))).drop("floor")
         ranked = bounds.withColumn("rn", F.row_number().over(Window.partitionBy("item").orderBy(_order(F.col("lower")))))
         best = cut(ranked.filter(F.col("rn") <= k))
         kth = best.filter(F.col("rn") == k).select("item", _order(F.col("lower")).alias("kth"), F.col("lower").alias("kth_score"))
+        floor = cut(kth.select("item", F.col("kth_score").alias("floor")))
+        if r == last:             # every score is exact and every list read: all items finish
+            found.append(best.select("item", "key", "doc_id", F.col("lower").alias("score"), F.lit(r + 1).alias("rounds")))
+            break
         challengers = (bounds.join(_small(kth), "item")
                        .filter((_order(F.col("lower")) > F.col("kth")) & (_order(F.col("upper")) < F.col("kth")))
                        .groupBy("item").agg(F.count("*").alias("challengers")))
@@ -126,11 +135,11 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
                   .join(kth, "item", "left").join(challengers, "item", "left"))
         done = F.coalesce(F.col("exact"), F.lit(1)).cast("boolean") & F.col("challengers").isNull() & F.when(
             F.col("kth_score").isNotNull(), F.col("unseen") < F.col("kth_score")).otherwise(F.col("unseen") == 0)
-        finished = cut(status.filter(done | F.lit(r == last)).select("item"))
+        finished = cut(status.filter(done).select("item"))
         found.append(best.join(finished, "item", "left_semi").select("item", "key", "doc_id", F.col("lower").alias("score"),
                                                                         F.lit(r + 1).alias("rounds")))
         active = active.join(finished, "item", "left_anti")
-        if r < last and active.isEmpty():
+        if active.isEmpty():
             break
     result = found[0]
     for more in found[1:]:
