@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from inkgraph import fixed_values as fixed
 from inkgraph.catalog.common import load, q, sql_clean, sql_keywords, sql_terms
 from inkgraph.functions import arrays, text as tx
-from inkgraph.operators import keywords, similarity, tfidf
+from inkgraph.operators import keywords, matching, tfidf
 
 FEATURES = 15_000
 
@@ -214,10 +214,8 @@ def v9_sparse_vectors(spark, folder):
 
 def v10_v11_top_matches(spark, folder):
     docs, items = _docs(spark, folder), load(spark, folder, "benchmark")
-    model = tfidf.fit(docs.select("text").unionByName(items.select("text")), "text", FEATURES)
-    return similarity.top_matches(
-        model.transform(docs, "text"), "doc_id", model.transform(items, "text"), "item_id", top=3
-    )
+    found = matching.top_matches(docs, "doc_id", items, "item_id", top=3)
+    return found.select("doc_id", "rank", "item_id", "similarity")
 
 
 def _fit_sql(key: str = "doc_id", features: int = FEATURES) -> str:
@@ -331,7 +329,10 @@ SELECT item_id, term, round(weight, 6) AS weight FROM unit""",
 SELECT doc_id, (SELECT count(*) FROM vocab)::INT AS size, count(term)::INT AS entries,
   round(coalesce(sum(weight), 0), 6) AS total FROM documents LEFT JOIN unit USING (doc_id) GROUP BY doc_id""",
     "v10_v11_top_matches": f"""
-WITH {sql_terms(_BOTH, 'key')}, {_fit_sql('key')}, {_unit_sql('unit', 'tf', 'key')},
+WITH {sql_terms(_BOTH, 'key')},
+tf AS (SELECT key, term, count(*) AS tf FROM terms GROUP BY ALL),
+vocab AS (SELECT term, ln((1 + (SELECT count(*) FROM toks)) / (1.0 + count(*))) + 1 AS idf FROM tf GROUP BY term),
+{_unit_sql('unit', 'tf', 'key')},
 sims AS (SELECT substr(d.key, 2)::BIGINT AS doc_id, substr(i.key, 2)::BIGINT AS item_id,
     round(sum(d.weight * i.weight), 6) AS similarity
   FROM unit d JOIN unit i ON d.term = i.term AND d.key LIKE 'd%' AND i.key LIKE 'i%' GROUP BY ALL)
