@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from inkgraph import fixed_values as fixed
 from inkgraph.catalog.common import load, q
 from inkgraph.catalog.texts import weights_sql
-from inkgraph.operators import clustering, hierarchy, lsa, profiles, silhouette, tfidf
+from inkgraph.operators import clustering, hierarchy, lsa, multi_kmeans, profiles, silhouette, tfidf
 from inkgraph.plans import reports
 from inkgraph.session import cut
 from inkgraph.sources import tables
@@ -39,7 +39,10 @@ def e2_projection(spark, folder):
 
 
 def u1_kmeans(spark, folder):
-    return clustering.kmeans(_points(spark, folder), "embedding", 4).assigned.select("vec_id", "cluster")
+    points = _points(spark, folder)
+    fitted = multi_kmeans.fit_many(points, "vec_id", "embedding", [4], clustering.RESTARTS)
+    centres, _ = fitted.best(4)
+    return multi_kmeans.assign(points, "embedding", centres).select("vec_id", "cluster")
 
 
 def u2_ward(spark, folder):
@@ -71,7 +74,16 @@ def u4_inertia(spark, folder):
 
 
 def u5_sweep(spark, folder):
-    return clustering.sweep_k(_points(spark, folder), "vec_id", "embedding")
+    """(k, inertia, silhouette) for k = 2..7, the 15 restarts of every k fitted in the same passes."""
+    points = _points(spark, folder)
+    ks = list(range(2, 8))
+    fitted = multi_kmeans.fit_many(points, "vec_id", "embedding", ks, clustering.SWEEP_RESTARTS)
+    rows = []
+    for k in sorted(set(fitted.ks)):
+        centres, inertia = fitted.best(k)
+        assigned = cut(multi_kmeans.assign(points, "embedding", centres).filter(F.col("cluster").isNotNull()))
+        rows.append((k, round(inertia, 2), round(silhouette.score(assigned, "vec_id", "embedding", "cluster"), 4)))
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 def u6_nearest_centroid(spark, folder):
