@@ -94,10 +94,14 @@ def x1_indicators(spark, folder):
     return found.select("key", "i.kind", "i.value")
 
 
+# RE2 refuses a bounded repetition of these groups; it does not recurse, so an unbounded one is safe there.
+# The two differ only on domains of more than 126 labels, which DNS does not allow.
+SQL_INDICATORS = {kind: p.replace("{1,126}", "+").replace("{0,126}", "*") for kind, p in tx.INDICATORS.items()}
+
 X1_SQL = "WITH t AS (SELECT 'd' || doc_id AS key, text FROM documents UNION ALL " \
          "SELECT 'p' || page_id, url || ' ' || html FROM pages) " + " UNION ALL ".join(
              f"SELECT DISTINCT key, {q(kind)} AS kind, unnest(regexp_extract_all(text, {q(pattern)})) AS value FROM t"
-             for kind, pattern in tx.INDICATORS.items()
+             for kind, pattern in SQL_INDICATORS.items()
          )
 
 # --- keyword scoring ---------------------------------------------------------

@@ -21,12 +21,14 @@ BLANKS = rf"[{SPACE}]+"
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
-# Indicator kinds and their patterns.
+# Indicator kinds and their patterns.  Lengths are bounded as DNS and mail bound them (labels of at most
+# 63 characters, at most 127 of them, local parts of at most 64), so that no repetition of a group runs deep
+# enough to exhaust Java's stack and no start position scans an unbounded run.
 INDICATORS = {
     "ipv4": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b",
     "url": r"https?://[^\s\"'<>]+",
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "domain": r"(?i)\b(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+(?:xn--[a-z0-9-]*[a-z0-9]|[a-z]{2,})\b",
+    "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,126}\.[A-Za-z]{2,63}",
+    "domain": r"(?i)\b(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.){1,126}(?:xn--[a-z0-9-]{0,58}[a-z0-9]|[a-z]{2,63})\b",
     "md5": r"\b[A-Fa-f0-9]{32}\b",
     "sha1": r"\b[A-Fa-f0-9]{40}\b",
     "sha256": r"\b[A-Fa-f0-9]{64}\b",
