@@ -1,7 +1,9 @@
 """Weighted betweenness: least-cost distances, path counts, back-propagated shares.
 
-The state is one row per (source, node); all sources advance together, one
-round per additional edge.  Costs must be positive, so that edges lying on
+The state is one row per (source, node) of one batch of sources; the sources
+of a batch advance together, one round per additional edge, and the shares of
+all batches are added.  So at most ``batch_sources`` x nodes rows are held at
+once, whatever the graph.  Costs must be positive, so that edges lying on
 least-cost paths form no cycle.
 """
 
@@ -15,6 +17,8 @@ from inkgraph.operators.graph import Graph
 from inkgraph.operators.skew import Hot, find_hot, spread_join
 from inkgraph.session import cut
 
+BATCH_SOURCES = 512     # sources whose (source, node) state is held at once
+
 
 def _distances(edges: DataFrame, sources: DataFrame, hot: Hot) -> DataFrame:
     """(s, v, d): least cost from each source; only nodes that improved send again."""
@@ -45,19 +49,9 @@ def _sum_levels(levels: list[DataFrame], keys: list[str], value: str) -> DataFra
     return reduce(DataFrame.unionByName, levels).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def betweenness(graph: Graph, cost: str = "weight", sources: DataFrame | None = None) -> DataFrame:
-    """(id, betweenness), normalised by (n - 1)(n - 2).
-
-    ``cost`` is an expression over the edge columns.  ``sources`` may restrict
-    the starting nodes, which makes the result a partial sum.
-    """
-    edges = cut(graph.edges.select("src", "dst", F.expr(cost).cast("double").alias("cost")).filter("src <> dst"))
-    if not edges.filter("cost is null or cost <= 0").isEmpty():
-        raise ValueError("costs have to be positive")
-    hot = find_hot(edges, "src")
-    nodes = graph.nodes.select("id")
-    dist = _distances(edges, nodes if sources is None else sources.select("id"), hot)
-
+def _through(edges: DataFrame, batch: DataFrame, hot: Hot) -> DataFrame:
+    """(v, x): the summed shares of the sources in ``batch`` on each inner node."""
+    dist = _distances(edges, batch, hot)
     tight = (
         spread_join(edges, dist.select("s", F.col("v").alias("src"), F.col("d").alias("du")), "src", by=["dst"], hot=hot)
         .join(dist.select("s", F.col("v").alias("dst"), F.col("d").alias("dv")), ["s", "dst"])
@@ -80,7 +74,27 @@ def betweenness(graph: Graph, cost: str = "weight", sources: DataFrame | None =
     back = _levels(ends, lambda level: level.join(share, ["s", "v"])
                    .groupBy("s", F.col("u")).agg(F.sum(F.col("x") * F.col("share")).alias("x"))
                    .withColumnRenamed("u", "v"))
-    through = reduce(DataFrame.unionByName, back[1:], ends.limit(0)).filter("s <> v").groupBy("v").agg(F.sum("x").alias("x"))
+    return cut(reduce(DataFrame.unionByName, back[1:], ends.limit(0)).filter("s <> v").groupBy("v").agg(F.sum("x").alias("x")))
+
+
+def betweenness(graph: Graph, cost: str = "weight", sources: DataFrame | None = None,
+                batch_sources: int = BATCH_SOURCES) -> DataFrame:
+    """(id, betweenness), normalised by (n - 1)(n - 2).
+
+    ``cost`` is an expression over the edge columns.  ``sources`` may restrict
+    the starting nodes, which makes the result a partial sum.  Sources are taken
+    in batches of about ``batch_sources`` (by a hash of the id), one after another.
+    """
+    edges = cut(graph.edges.select("src", "dst", F.expr(cost).cast("double").alias("cost")).filter("src <> dst"))
+    if not edges.filter("cost is null or cost <= 0").isEmpty():
+        raise ValueError("costs have to be positive")
+    hot = find_hot(edges, "src")
+    nodes = graph.nodes.select("id")
+    starts = cut((nodes if sources is None else sources.select("id")).distinct())
+    batches = max(1, -(-starts.count() // batch_sources))
+    starts = starts.withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)))
+    parts = [_through(edges, starts.filter(F.col("batch") == b).select("id"), hot) for b in range(batches)]
+    through = reduce(DataFrame.unionByName, parts).groupBy("v").agg(F.sum("x").alias("x"))
 
     n = nodes.count()
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0

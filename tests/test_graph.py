@@ -76,6 +76,16 @@ def test_betweenness_counts_equal_paths(spark):
     assert found == pytest.approx({"a": 0, "b": .05, "c": .05, "d": .15, "e": 0, "z": 0})
 
 
+def test_betweenness_batches_add_up(spark, chain):
+    edges = spark.createDataFrame(
+        [(f"n{i}", f"n{(i * 7 + j) % 23}", float(1 + (i + j) % 3)) for i in range(23) for j in (1, 2, 5)],
+        "src string, dst string, weight double")
+    g = graph.build_graph(spark.createDataFrame([("n0",)], "id string"), edges)
+    whole = as_dict(betweenness.betweenness(g))
+    assert as_dict(betweenness.betweenness(g, batch_sources=4)) == pytest.approx(whole, abs=1e-12)
+    assert as_dict(betweenness.betweenness(chain, batch_sources=1)) == pytest.approx(BETWEENNESS, abs=6e-5)
+
+
 def test_expand_to_members(spark):
     members = tables.class_members(spark).select(
         "class", F.concat_ws("::", "member_id", "member_name").alias("node"))
