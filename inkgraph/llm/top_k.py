@@ -18,6 +18,8 @@ from inkgraph.llm.vectors import keep_best, lengths, matrix, search, valid
 SCALE = 64
 SEEDS = 4_096        # longest vectors, broadcast to give every query a first bound (about; rows are picked by length)
 CHUNK = 1_024        # candidates in work at a time
+QUERY_SLICE = 256    # queries in work at a time
+GATHER = 50_000      # pairs whose whole rows are gathered at a time
 PARTS = (0.25, 0.5)  # shares of the coordinates after which bounds are tested
 SLACK = 1e-9         # relative room for rounding in the bounds
 
@@ -65,29 +67,33 @@ def best_pairs(turn: np.ndarray, seeds: tuple[np.ndarray, np.ndarray], top: int)
             asked = np.flatnonzero(length * size[low] + room >= bound)
             if not len(asked):
                 break
-            sums, done, pairs = None, 0, None
-            for c, (rest_q, rest_c) in zip(cuts, rest):
+            for first in range(0, len(asked), QUERY_SLICE):     # bounded work: a slice of queries meets a chunk of candidates
+                sub = asked[first:first + QUERY_SLICE]
+                sums, done, pairs = None, 0, None
+                for c, (rest_q, rest_c) in zip(cuts, rest):
+                    if pairs is None:
+                        sums = spun_q[sub, done:c] @ spun_c[part, done:c].T
+                        open_ = sums + rest_q[sub][:, None] * rest_c[part] + room[sub][:, None] >= bound[sub][:, None]
+                        q, x = np.nonzero(open_)
+                        pairs, sums = (sub[q], x + low), sums[q, x]
+                    else:
+                        sums = sums + np.einsum("ij,ij->i", spun_q[pairs[0], done:c], spun_c[pairs[1], done:c])
+                        keep = sums + rest_q[pairs[0]] * rest_c[pairs[1]] + room[pairs[0]] >= bound[pairs[0]]
+                        pairs, sums = (pairs[0][keep], pairs[1][keep]), sums[keep]
+                    done = c
                 if pairs is None:
-                    sums = spun_q[asked, done:c] @ spun_c[part, done:c].T
-                    open_ = sums + rest_q[asked][:, None] * rest_c[part] + room[asked][:, None] >= bound[asked][:, None]
-                    q, x = np.nonzero(open_)
-                    pairs, sums = (asked[q], x + low), sums[q, x]
-                else:
-                    sums = sums + np.einsum("ij,ij->i", spun_q[pairs[0], done:c], spun_c[pairs[1], done:c])
-                    keep = sums + rest_q[pairs[0]] * rest_c[pairs[1]] + room[pairs[0]] >= bound[pairs[0]]
-                    pairs, sums = (pairs[0][keep], pairs[1][keep]), sums[keep]
-                done = c
-            if pairs is None:
-                q, x = np.meshgrid(asked, np.arange(low, min(low + CHUNK, len(ids))), indexing="ij")
-                pairs = q.ravel(), x.ravel()
-            keep = query_ids[pairs[0]] != ids[pairs[1]]
-            q, x = pairs[0][keep], pairs[1][keep]
-            value = dots(queries[q], candidates[x], float(length.max() * size[0]))
-            keep = value >= bound[q]
-            merged = [np.concatenate((a, b)) for a, b in zip(out, (q[keep], ids[x[keep]], value[keep]))]
-            *out, rank = keep_best(*merged, top)
-            last = rank == top - 1
-            bound[out[0][last]] = np.maximum(bound[out[0][last]], out[2][last])
+                    q, x = np.meshgrid(sub, np.arange(low, min(low + CHUNK, len(ids))), indexing="ij")
+                    pairs = q.ravel(), x.ravel()
+                keep = query_ids[pairs[0]] != ids[pairs[1]]
+                q, x = pairs[0][keep], pairs[1][keep]
+                largest = float(length.max() * size[0])
+                value = np.concatenate([np.zeros(0, np.int64)] + [
+                    dots(queries[q[i:i + GATHER]], candidates[x[i:i + GATHER]], largest) for i in range(0, len(q), GATHER)])
+                keep = value >= bound[q]
+                merged = [np.concatenate((a, b)) for a, b in zip(out, (q[keep], ids[x[keep]], value[keep]))]
+                *out, rank = keep_best(*merged, top)
+                last = rank == top - 1
+                bound[out[0][last]] = np.maximum(bound[out[0][last]], out[2][last])
         return tuple(out)
     return best
 
