@@ -41,23 +41,36 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self[""] = b""
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-            self[""] = b""
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """White space separates words before anything else, and case is dropped; lower-casing ASCII texts first makes fewer words."""
+    def words(self, text: str) -> list[str]:
+        """White space separates words before anything else.  The tokenizer drops case itself; lower-casing an
+        ASCII text first makes fewer distinct words, unless that would turn text into a special token."""
         text = text.replace("\n", " ")
         if text.isascii():
-            text = text.lower()
-        return b"".join(map(self.__getitem__, text.split(" ")))
+            low = text.lower()
+            if low == text or all(low.count(s) == text.count(s) for s in self.specials):
+                text = low
+        return text.split(" ")
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the words not met before are encoded together in one call."""
+        split = [self.words(t) for t in texts]
+        fresh = sorted({w for ws in split for w in ws if w not in self})
+        if fresh:
+            batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+            made = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, batch(fresh, add_special_tokens=False))}
+            if len(self) + len(made) > KEPT_WORDS:
+                self.clear()
+                self[""] = b""
+            self.update((w, ids) for w, ids in made.items() if len(w) <= 64)
+        else:
+            made = {}
+        return [b"".join(self[w] if w in self else made[w] for w in ws) for ws in split]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -74,13 +87,14 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
     closing = np.array([end], "<u4").tobytes()
 
     def run(batches):
-        encode = encoder(path).encode
+        encode_many = encoder(path).encode_many
         for batch in batches:
             doc_ids = batch["doc_id"].to_pylist()
             for low, high, data in chunks(batch["text"]):
                 out = []
-                for doc_id, text in zip(doc_ids[low:high], data):
-                    ids = memoryview(encode(text.decode("utf-8", "replace")) + closing)
+                encoded = encode_many([text.decode("utf-8", "replace") for text in data])
+                for doc_id, done in zip(doc_ids[low:high], encoded):
+                    ids = memoryview(done + closing)
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         part = ids[4 * start: 4 * (start + window)]

@@ -330,3 +330,15 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(docs, model, "text", "lang").count() == docs.count()
     assert toxicity.score(empty, None).count() == 0
     assert {r.score for r in toxicity.score(df, toxicity.learn(df, marks.filter("toxic = 0"), F.lit(True))).collect()} == {0.0}
+
+
+def test_packing_ids_with_special_tokens_in_any_case():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    enc = packing.WordEncoder(path)
+    texts = ["<|ENDOFTEXT|> a", "<|EndOfText|> b <|endoftext|>", "<|endoftext|> plain", "Grüße <|ENDOFTEXT|> x",
+             "MiXeD Case words AND more", "", "a\nb  c", "<|startoftext|>Hi<|ENDOFTEXT|>"]
+    got = enc.encode_many(texts)
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+    assert [enc.encode(t) for t in texts] == got
