@@ -82,14 +82,33 @@ class Words:
 
 
 def split(texts: list[bytes]) -> Words:
-    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
+    return split_joined(np.frombuffer(b" ".join(texts) + b" ", np.uint8), lengths)
+
+
+def split_column(column: pa.Array | pa.ChunkedArray) -> Words:
+    """As ``split``, for a binary column: words are cut from its buffer, with no object per text (null is empty)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return split([])
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+    values = column.buffers()[2]
+    values = np.frombuffer(values, np.uint8)[offsets[0]: offsets[-1]] if values is not None else np.zeros(0, np.uint8)
+    raw = np.insert(values, offsets[1:] - offsets[0], np.uint8(32))      # a space after every text
+    return split_joined(raw, np.diff(offsets))
+
+
+def split_joined(raw: np.ndarray, lengths: np.ndarray) -> Words:
+    """Words of texts of ``lengths`` bytes laid out in ``raw``, each followed by one space."""
     data = LOWER[raw]
     space = IS_SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(data) and not space[0]:
         edge = np.concatenate(([0], edge))
     start, end = edge[0::2], edge[1::2]
-    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+    ends = np.cumsum(lengths + 1)
     first = np.searchsorted(start, np.concatenate(([0], ends)))
     return Words(data, start, end, first)
 

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkgraph.llm.common import schema_of, texts
-from inkgraph.llm.hashed_words import Words, chunks, split
+from inkgraph.llm.hashed_words import Words, chunks, split, split_column
 from inkgraph.llm.subwords import buckets
 
 GRAMS = (3, 4, 5)
@@ -74,13 +75,13 @@ def worst(score: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return top, begin[pick], end[pick]
 
 
-def _sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[list[tuple[bytes, int]], float]:
-    """As ``sample``, with each text as its UTF-8 bytes, fetched through Arrow (no row objects, no decoded copies)."""
+def _sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[pa.Table, float]:
+    """As ``sample``, as an Arrow table (text as UTF-8 bytes, toxic) in the same order: no object per text on the driver."""
     known = labels.filter(train & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("label_id"))
     known = known.agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if not counts:
-        return [], 0.0
+        return pa.table({"text": pa.array([], pa.binary()), "toxic": pa.array([], pa.int32())}), 0.0
     chance = F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) / float(1 << 20)
     marked = F.col("toxic") == 1
 
@@ -92,27 +93,26 @@ def _sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[list[tup
     rows = picked(share).groupBy("toxic").agg(F.sum(F.octet_length("text")).alias("size")).collect()
     for r in rows:
         share[r.toxic] = min(share[r.toxic], 1.0) * min(1.0, SAMPLE_BYTES / max(1, r["size"]))
-    table = picked(share).select("toxic", F.col("text").cast("binary").alias("text")).toArrow()
-    found = list(zip(table.column("text").to_pylist(), table.column("toxic").to_pylist()))
-    del table
-    found.sort()      # UTF-8 bytes sort as their code points do
-    return found, counts.get(1, 0) / sum(counts.values())
+    table = picked(share).select(F.col("text").cast("binary").alias("text"), "toxic").toArrow()
+    order = pc.sort_indices(table, sort_keys=[("text", "ascending"), ("toxic", "ascending")])   # UTF-8 bytes sort as code points
+    return table.take(order), counts.get(1, 0) / sum(counts.values())
 
 
 def sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[list[tuple[str, int]], float]:
     """``train`` is a condition on the labels' doc_id. (whole text, toxic) of texts of each label, about ``SAMPLE_DOCS`` or ``SAMPLE_BYTES`` at most, and the share of toxic ones among all."""
-    rows, prior = _sample(docs, labels, train)
-    return [(text.decode("utf-8"), y) for text, y in rows], prior
+    table, prior = _sample(docs, labels, train)
+    return [(text.decode("utf-8"), y) for text, y in zip(table.column("text").to_pylist(), table.column("toxic").to_pylist())], prior
 
 
-def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | None:
+def fit(rows: list[tuple[str, int]] | pa.Table, prior: float, seed: int = 11) -> Model | None:
     """Embeddings and softmax by AdaGrad on each text's worst window, then a logistic calibration to the true share."""
-    label = np.array([y for _, y in rows])
+    table = rows if isinstance(rows, pa.Table) else None
+    label = table.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) if table is not None else np.array([y for _, y in rows])
     if not len(label) or label.min() == label.max():
         return None
     rng = np.random.default_rng(seed)
-    words = split([text if isinstance(text, bytes) else text.encode() for text, _ in rows])
-    del rows        # the texts are held once, in ``words``
+    words = split_column(table.column("text")) if table is not None else split([text.encode() for text, _ in rows])
+    del rows, table        # the texts are held once, in ``words``
     keys, one, back = np.unique(words.hash, return_index=True, return_inverse=True)
     ids, first = buckets(words, one, GRAMS, BUCKETS)
     spans = np.diff(first)
