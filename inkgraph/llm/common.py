@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -76,3 +79,16 @@ def spread_lookup(many: DataFrame, few: DataFrame, key: str, rows: str, by: str)
     few = few.drop(rows).join(F.broadcast(hot), key, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
     return many.drop("__salts").join(few.drop("__salts"), [key, "__salt"], "left").drop("__salt")
+
+
+def release_memory() -> None:
+    """Give the driver's freed heap back to the system after a fit held in it, so later stages start lean.
+
+    Python keeps freed small objects in its own arenas and glibc keeps freed
+    heap pages; ``malloc_trim`` returns them.  Elsewhere than on glibc it does nothing.
+    """
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

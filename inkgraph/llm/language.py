@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkgraph.llm.common import schema_of, texts
+from inkgraph.llm.common import release_memory, schema_of, texts
 from inkgraph.llm.hashed_words import Words, chunks, split
 from inkgraph.llm.subwords import buckets
 
@@ -213,6 +213,7 @@ def identify(docs: DataFrame, train: Column, *keep: str) -> DataFrame:
     language that sorts first; repeated rows get equal results.
     """
     field = docs.sparkSession.sparkContext.broadcast(fit(sample(docs, train)))
+    release_memory()
     rows = texts(docs, *keep)
 
     def run(batches):

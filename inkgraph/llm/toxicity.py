@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkgraph.llm.common import schema_of, texts
+from inkgraph.llm.common import release_memory, schema_of, texts
 from inkgraph.llm.hashed_words import Words, chunks, split
 from inkgraph.llm.subwords import buckets
 
@@ -178,7 +178,9 @@ def calibrated(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tup
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column) -> Model | None:
-    return fit(*_sample(docs, labels, train))
+    model = fit(*_sample(docs, labels, train))
+    release_memory()
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
