@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import gc
 
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -84,10 +86,11 @@ def spread_lookup(many: DataFrame, few: DataFrame, key: str, rows: str, by: str)
 def release_memory() -> None:
     """Give the driver's freed heap back to the system after a fit held in it, so later stages start lean.
 
-    Python keeps freed small objects in its own arenas and glibc keeps freed
-    heap pages; ``malloc_trim`` returns them.  Elsewhere than on glibc it does nothing.
+    Python keeps freed small objects in its own arenas, Arrow its buffers in its
+    pool and glibc freed heap pages; all three are returned.  Elsewhere than on glibc it does nothing.
     """
     gc.collect()
+    pa.default_memory_pool().release_unused()      # Arrow keeps freed buffers in its own pool
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):

@@ -95,6 +95,7 @@ def _sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[list[tup
     table = picked(share).select("toxic", F.col("text").cast("binary").alias("text")).toArrow()
     found = list(zip(table.column("text").to_pylist(), table.column("toxic").to_pylist()))
     del table
+    release_memory()
     found.sort()      # UTF-8 bytes sort as their code points do
     return found, counts.get(1, 0) / sum(counts.values())
 
