@@ -20,7 +20,24 @@ from pyspark.sql import DataFrame, functions as F
 from inkgraph.operators.skew import lookup_join
 from inkgraph.session import cut
 
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 2_000          # rows of a block, unless blocks of that size would be more than the cores need
+LARGEST_BYTES = 64_000_000  # of one block's vectors; a task holds two blocks and one table of BLOCK_ROWS x BLOCK_ROWS
+PAIRS_PER_CORE = 8
+
+
+def block_count(df: DataFrame, rows: int, block_rows: int, dim: int = 64) -> int:
+    """Blocks such that pairs of them keep all cores busy; more only if a block's vectors would not fit.
+
+    A row is copied once per block, so blocks of a fixed size would make copies grow
+    with the square of the rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    enough = math.ceil(math.sqrt(2 * PAIRS_PER_CORE * cores))
+    return max(1, min(math.ceil(rows / block_rows), enough), math.ceil(rows * dim * 8 / LARGEST_BYTES))
+
+
+def matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_list()).astype(float)
 
 
 def block_pairs(df: DataFrame, key: str, blocks: int) -> tuple[DataFrame, DataFrame]:

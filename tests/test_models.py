@@ -215,6 +215,24 @@ def test_ward_equals_one_by_one_merging(spark, block):
     assert set(got) == set(range(5))
 
 
+@pytest.mark.parametrize("last, block", [(9, 7), (2_000, 2_000)])
+def test_ward_keeps_what_it_found_between_rounds(spark, last, block):
+    rng = np.random.default_rng(5)
+    rows = [(i * 3, np.round(rng.normal(size=3), 1).tolist()) for i in range(40)]      # rounded: some costs are equal
+    rows += [(1_000 + i, rows[i][1]) for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = {}
+    for r in hierarchy.ward(df, "id", "v", 5, block, last).collect():
+        got.setdefault(r["cluster"], set()).add(r["id"])
+    assert {frozenset(x) for x in got.values()} == brute_ward(rows, 5)
+
+
+def test_ward_refuses_repeated_keys_and_nan(spark):
+    for rows in ([(1, [0.0]), (1, [1.0]), (2, [5.0])], [(1, [0.0]), (2, [float("nan")]), (3, [5.0])]):
+        with pytest.raises(ValueError):
+            hierarchy.ward(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 2)
+
+
 def test_profiles_fall_back(spark):
     docs = spark.createDataFrame([(1, "t1"), (2, "t2")], "id long, title string")
     km = spark.createDataFrame([(1, 0), (2, 9)], "id long, cluster int")
