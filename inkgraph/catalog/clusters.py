@@ -78,11 +78,13 @@ def u5_sweep(spark, folder):
     points = _points(spark, folder)
     ks = list(range(2, 8))
     fitted = multi_kmeans.fit_many(points, "vec_id", "embedding", ks, clustering.SWEEP_RESTARTS)
-    rows = []
-    for k in sorted(set(fitted.ks)):
-        centres, inertia = fitted.best(k)
-        assigned = cut(multi_kmeans.assign(points, "embedding", centres).filter(F.col("cluster").isNotNull()))
-        rows.append((k, round(inertia, 2), round(silhouette.score(assigned, "vec_id", "embedding", "cluster"), 4)))
+    found = {k: fitted.best(k) for k in sorted(set(fitted.ks))}
+    assigned = points
+    for k, (centres, _) in found.items():
+        assigned = multi_kmeans.assign(assigned, "embedding", centres, f"cluster{k}").filter(F.col(f"cluster{k}").isNotNull())
+    names = [f"cluster{k}" for k in found]
+    scores = silhouette.euclidean_scores(cut(assigned), "vec_id", "embedding", names) if found else []
+    rows = [(k, round(inertia, 2), round(score, 4)) for (k, (_, inertia)), score in zip(found.items(), scores)]
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

@@ -3,7 +3,8 @@
 ``euclidean`` is the exact measure with true distances; it has to look at every
 pair of rows, so its work grows with the square of the rows.  Rows are put into
 blocks and two blocks meet in one task, which returns only a sum per row and
-cluster.  ``squared`` uses squared distances, for which sums per cluster are
+cluster; there are as many blocks as keep the cores busy, so what is shuffled
+grows with the rows.  ``squared`` uses squared distances, for which sums per cluster are
 enough: one pass, the choice for large data.
 """
 
@@ -58,49 +59,76 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
-def _sums(keys, own, table: np.ndarray, clusters: np.ndarray) -> pd.DataFrame:
-    """Sums of distances from each row to each cluster present on the other side."""
-    names, codes = np.unique(clusters, return_inverse=True)
-    member = np.zeros((len(codes), len(names)))
-    member[np.arange(len(codes)), codes] = 1.0
-    totals = table @ member
+def _sums(keys, own, totals: np.ndarray, names: np.ndarray) -> pd.DataFrame:
+    """Rows of summed distances to each cluster present on the other side."""
     return pd.DataFrame({
         "id": np.repeat(keys, len(names)), "own": np.repeat(own, len(names)),
         "other": np.tile(names, len(keys)), "total": totals.ravel(),
     })
 
 
+def _members(clusters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    names, codes = np.unique(clusters, return_inverse=True)
+    member = np.zeros((len(codes), len(names)))
+    member[np.arange(len(codes)), codes] = 1.0
+    return names, member
+
+
 def distance_sums(df: DataFrame, key: str, column: str, cluster: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, own, other, total): summed distance of each row to all rows of each cluster."""
-    rows = df.select(
-        F.col(key).alias("id"), F.col(cluster).alias("cluster"), F.col(column).cast("array<double>").alias("v")
-    )
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-    left, right = block_pairs(rows, "id", blocks)
-    kind = {name: rows.schema[name].dataType.simpleString() for name in ("id", "cluster")}
+    return distance_sums_many(df, key, column, [cluster], block_rows).drop("which")
+
+
+def distance_sums_many(df: DataFrame, key: str, column: str, clusters: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``distance_sums`` of several clusterings of the same rows from one look at all pairs; ``which`` is its number."""
+    vector = F.col(column) if df.schema[column].dataType.simpleString() == "array<float>" else F.col(column).cast("array<double>")
+    names = [f"cluster{i}" for i in range(len(clusters))]
+    rows = df.select(F.col(key).alias("id"), vector.alias("v"), *[F.col(c).alias(n) for c, n in zip(clusters, names)])
+    n, dim = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    left, right = block_pairs(rows, "id", block_count(df, n, block_rows, max(dim or 1, 1)))
+    kind = {name: rows.schema[name].dataType.simpleString() for name in ("id", names[0])}
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "own": [], "other": [], "total": []})
-        x, y = np.stack(a["v"].to_list()), np.stack(b["v"].to_list())
-        table = distances(x, y)
+            return pd.DataFrame({"which": [], "id": [], "own": [], "other": [], "total": []})
+        x, y, xs, ys = matrix(a["v"]), matrix(b["v"]), a["id"].to_numpy(), b["id"].to_numpy()
         same = a["a"].iloc[0] == b["b"].iloc[0]
-        if same:
-            table[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = 0.0
-        parts = [_sums(a["id"].to_numpy(), a["cluster"].to_numpy(), table, b["cluster"].to_numpy())]
-        if not same:
-            parts.append(_sums(b["id"].to_numpy(), b["cluster"].to_numpy(), table.T, a["cluster"].to_numpy()))
+        of_x = [_members(a[name].to_numpy()) for name in names]
+        of_y = [_members(b[name].to_numpy()) for name in names]
+        all_x, all_y = np.hstack([m for _, m in of_x]), np.hstack([m for _, m in of_y])
+        to_y, to_x = np.zeros((len(x), all_y.shape[1])), np.zeros((len(y), all_x.shape[1]))
+        for i in range(0, len(x), BLOCK_ROWS):
+            p = slice(i, i + BLOCK_ROWS)
+            for j in range(0, len(y), BLOCK_ROWS):
+                q = slice(j, j + BLOCK_ROWS)
+                table = distances(x[p], y[q])
+                if same:
+                    table[xs[p][:, None] == ys[q][None, :]] = 0.0
+                else:
+                    to_x[q] += table.T @ all_x[p]
+                to_y[p] += table @ all_y[q]
+        parts = []
+        for which, name in enumerate(names):
+            for side, ids, totals, of, wanted in ((a, xs, to_y, of_y, True), (b, ys, to_x, of_x, not same)):
+                if wanted:
+                    first = sum(len(found) for found, _ in of[:which])
+                    found = of[which][0]
+                    part = _sums(ids, side[name].to_numpy(), totals[:, first:first + len(found)], found)
+                    parts.append(part.assign(which=which))
         return pd.concat(parts)
 
     cells = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(
-        meet, f"id {kind['id']}, own {kind['cluster']}, other {kind['cluster']}, total double"
+        meet, f"which int, id {kind['id']}, own {kind['cluster0']}, other {kind['cluster0']}, total double"
     )
-    return cells.groupBy("id", "own", "other").agg(F.sum("total").alias("total"))
+    return cells.groupBy("which", "id", "own", "other").agg(F.sum("total").alias("total"))
 
 
 def values(df: DataFrame, key: str, column: str, cluster: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, cluster, a, b, silhouette) of every row; rows of singleton clusters get 0."""
-    sums = distance_sums(df, key, column, cluster, block_rows)
+    return _from_sums(df, distance_sums(df, key, column, cluster, block_rows), key, cluster)
+
+
+def _from_sums(df: DataFrame, sums: DataFrame, key: str, cluster: str) -> DataFrame:
     sizes = cut(df.groupBy(F.col(cluster).alias("other")).agg(F.count("*").alias("size")))   # one row per cluster
     mean = lookup_join(sums, sizes, "other")
     inside = F.col("own") == F.col("other")
@@ -114,6 +142,17 @@ def values(df: DataFrame, key: str, column: str, cluster: str, block_rows: int =
     return per_row.select(F.col("id").alias(key), F.col("own").alias(cluster), "a", "b", s.alias("silhouette"))
 
 
+def euclidean_scores(df: DataFrame, key: str, column: str, clusters: list[str], block_rows: int = BLOCK_ROWS) -> list[float]:
+    """``score`` of several clusterings of the same rows; distances are worked out once for all."""
+    several = [c for c in clusters if df.select(c).distinct().limit(2).count() > 1]
+    if not several:
+        return [0.0] * len(clusters)
+    sums = cut(distance_sums_many(df, key, column, several, block_rows))
+    found = {c: _from_sums(df, sums.filter(F.col("which") == i).drop("which"), key, c).agg(F.avg("silhouette")).first()[0]
+             for i, c in enumerate(several)}
+    return [found.get(c, 0.0) for c in clusters]
+
+
 def score(df: DataFrame, key: str, column: str, cluster: str, measure: str = "euclidean") -> float:
     """Mean silhouette; 0 when there is only one cluster."""
     if df.select(cluster).distinct().limit(2).count() < 2:

@@ -190,6 +190,15 @@ def test_kmeans_inertia_and_nearest(spark):
     assert clustering.bisecting(df, "v", 3).select("cluster").distinct().count() == 3
 
 
+def test_blocks_stay_few_and_several_clusterings_share_the_distances(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, rng.normal(size=3).tolist(), i % 2, i % 3, 0) for i in range(40)],
+                               "id long, v array<float>, p int, q int, one int")
+    assert silhouette.block_count(df, 615_000, 2_000) == silhouette.block_count(df, 100_000, 2_000)     # 2,000 a block: 308 and 50
+    got = silhouette.euclidean_scores(df, "id", "v", ["p", "q", "one"], 6)
+    assert got == pytest.approx([silhouette.score(df, "id", "v", c) for c in ("p", "q", "one")], abs=1e-9)
+
+
 def brute_ward(rows, k):
     clusters = [([r[0]], np.array(r[1])) for r in rows]
     while len(clusters) > k:
