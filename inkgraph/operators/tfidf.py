@@ -25,7 +25,8 @@ def document_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def term_frequency(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return document_terms(docs, key, text).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """Texts are exchanged by key, not their terms one by one: those of a key then meet in one place and are counted there."""
+    return document_terms(docs.select(key, text).repartition(key), key, text).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def corpus_counts(docs: DataFrame, text: str) -> DataFrame:

@@ -199,6 +199,15 @@ def test_blocks_stay_few_and_several_clusterings_share_the_distances(spark):
     assert got == pytest.approx([silhouette.score(df, "id", "v", c) for c in ("p", "q", "one")], abs=1e-9)
 
 
+def test_term_frequency_exchanges_texts_only(spark):
+    df = spark.createDataFrame([(1, "red red car"), (1, "red"), (None, "car car"), (None, "car"), (2, None)], "id long, text string")
+    counted = tfidf.term_frequency(df, "id", "text")
+    assert {(r["id"], r["term"]): r["tf"] for r in counted.collect()} == {
+        (1, "red"): 3, (1, "red red"): 1, (1, "car"): 1, (1, "red car"): 1, (None, "car"): 3, (None, "car car"): 1}
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(id") == 1 and "Exchange hashpartitioning(id, term" not in plan.replace("#", " ")
+
+
 def brute_ward(rows, k):
     clusters = [([r[0]], np.array(r[1])) for r in rows]
     while len(clusters) > k:
