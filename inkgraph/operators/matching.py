@@ -6,9 +6,11 @@ to unit length over *all* terms of a text: no vocabulary is cut.
 
 Plan:
 
-* Term counts are summed map-side per (text, term); document frequencies per term.
-  The idf of a term reaches its postings by a join on the term, in which terms
-  held by more than a task's share of all postings are spread over salts.
+* Terms are counted by the batch of texts and are 64-bit hashes from then on (the
+  chance of any collision among n terms is about n^2 / 2^65); document frequencies
+  are counted per hash.  Terms that several keys or a reference hold get their idf
+  by a join, in which terms held by more than a task's share of all postings are
+  spread over salts; all others share one idf, so norms need no join for them.
 * Only terms that some reference holds can add to a cosine, so documents keep
   just those postings (their norm is taken over all their terms first).
 * The references form a term-partitioned inverted index: per term, its
@@ -33,10 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from inkgraph.functions.arrays import unnest
-from inkgraph.functions.text import terms
+from inkgraph.functions.text import tokens
+from inkgraph.operators import term_batches
 from inkgraph.operators.skew import Hot
 from inkgraph.session import cut
 
@@ -47,25 +50,47 @@ LOOKUPS = 4_000_000            # (candidate, term) pairs looked up at once
 MARGIN = 1e-6                  # a reference left out must stay below the top-th cosine after rounding
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        first = 0
+        for some in term_batches.slices(batch.column("tokens")):
+            at, term, tf = term_batches.hashed_counts(some)
+            rows = pa.array(first + at)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("side").take(rows), batch.column("id").take(rows), pa.array(term), pa.array(tf, pa.int64())],
+                ["side", "id", "term", "tf"])
+            first += len(some)
+
+
+def term_hashes(both: DataFrame, repeated: bool) -> DataFrame:
+    """(side, id, term, tf): a text's terms as 64-bit hashes; counts of rows that share a key are added up."""
+    rows = both.select("side", "id", tokens(F.col("text")).alias("tokens"))
+    rows = rows.mapInArrow(_hashed, "side int, id long, term long, tf long")
+    return rows.groupBy("side", "id", "term").agg(F.sum("tf").alias("tf")) if repeated else rows
+
+
 def unit_postings(docs: DataFrame, doc: str, refs: DataFrame, ref: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(id, term, weight) of documents and of references, unit length over all terms; documents keep reference terms only."""
     both = docs.select(F.lit(0).alias("side"), F.col(doc).cast("long").alias("id"), F.col(text).alias("text")).unionByName(
         refs.select(F.lit(1).alias("side"), F.col(ref).cast("long").alias("id"), F.col(text).alias("text")))
-    n = both.count()
-    tf = cut(unnest(both, terms(F.col("text")), "term", "side", "id").groupBy("side", "id", "term").agg(F.count("*").alias("tf")))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    idf = df.select("term", "df", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1).alias("idf"))
-    idf = cut(idf)
+    n, keys = both.groupBy("side", "id").count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    tf = cut(term_hashes(both, n != keys))
+    idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1
+    once = math.log((1.0 + n) / 2.0) + 1                 # the idf of a term that one key holds
+    held = tf.groupBy("term").agg(F.count("*").alias("df"), F.max("side").alias("in_refs"))
+    held = cut(held.filter("df > 1 or in_refs = 1"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = idf.agg(F.sum("df")).first()[0] or 0
-    share = max(1, total // parts)
-    hot = Hot([r["term"] for r in idf.filter(F.col("df") > share).select("term").collect()], salts=parts)   # fewer than parts terms
-    joined = hot.spread(tf, "term", ["side", "id"]).join(hot.copy(idf.drop("df"), "term"), ["term", "salt"]).drop("salt")
-    raw = cut(joined.select("side", "id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("raw")))
-    norms = raw.groupBy("side", "id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    vocab = raw.filter(F.col("side") == 1).select("term").distinct()
-    kept = raw.join(vocab, "term", "left_semi").join(norms, ["side", "id"])
-    unit = cut(kept.select("side", "id", "term", (F.col("raw") / F.col("norm")).alias("weight")).filter(F.col("id").isNotNull()))
+    share = max(1, tf.count() // parts)
+    hot = Hot([r["term"] for r in held.filter(F.col("df") > share).select("term").collect()], salts=parts)   # fewer than parts terms
+    joined = hot.spread(tf, "term", ["side", "id"]).join(hot.copy(held, "term"), ["term", "salt"]).drop("salt")
+    raw = cut(joined.select("side", "id", "term", "in_refs", (1 + F.log("tf")).alias("times"), idf.alias("idf")))
+    # Each term counts as if one key held it; what the terms of several keys have less or more is added.
+    alone = tf.select("side", "id", F.pow(1 + F.log("tf"), 2.0).alias("a"), F.lit(0.0).alias("b"))
+    several = raw.select("side", "id", F.lit(0.0).alias("a"), (F.pow("times", 2.0) * (F.pow("idf", 2.0) - once * once)).alias("b"))
+    norms = alone.unionByName(several).groupBy("side", "id").agg(
+        F.sqrt(F.sum("a") * (once * once) + F.sum("b")).alias("norm"))
+    kept = raw.filter((F.col("in_refs") == 1) & F.col("id").isNotNull()).join(norms, ["side", "id"])
+    unit = cut(kept.select("side", "id", "term", (F.col("times") * F.col("idf") / F.col("norm")).alias("weight")))
     return unit.filter(F.col("side") == 0).drop("side"), unit.filter(F.col("side") == 1).drop("side")
 
 

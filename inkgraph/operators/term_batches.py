@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -68,6 +69,30 @@ def _two(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray,
     return found[0], found[2]
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (the finalizer of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def hashed_counts(tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, 64-bit hash of the term, tf), by row; the hash depends on the term alone."""
+    words, rows = flat(tokens)
+    coded = words.dictionary_encode()
+    ids, size = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+    own = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False).astype(object), categorize=False).astype(np.uint64)
+    n_rows = max(len(tokens), 1)
+    single, at1, tf1 = occurrences(ids, rows, n_rows)
+    near = rows[1:] == rows[:-1]
+    pair, at2, tf2 = occurrences(ids[:-1][near] * size + ids[1:][near], rows[1:][near], n_rows)
+    left, right = own[pair // max(size, 1)], own[pair % max(size, 1)]
+    hashes = np.concatenate([_mixed(own[single]), _mixed(_mixed(left + np.uint64(0x9E3779B97F4A7C15)) + right)]).view(np.int64)
+    at, tf = np.concatenate([at1, at2]), np.concatenate([tf1, tf2])
+    order = np.argsort(at, kind="stable")
+    return at[order], hashes[order], tf[order]
+
+
 class Vocabulary:
     """Numbers of given terms; terms are tokens or two tokens with one blank between."""
 

@@ -85,3 +85,17 @@ def test_lists_are_skipped():
     order = np.lexsort((np.arange(200), -full))[:3]
     assert ids.tolist() == order.tolist() and np.allclose(sims, full[order])
     assert read < len(idx)
+
+
+def test_terms_travel_as_hashes(spark, tables):
+    """Equal terms have equal hashes in every batch, different ones differ; a null key and repeated keys are counted in."""
+    docs, refs = tables
+    both = spark.createDataFrame([(0, *row) for row in docs] + [(1, *row) for row in refs], "side int, id long, text string")
+    wanted = both.select("side", "id", F.explode(terms(F.col("text"))).alias("term")).groupBy("side", "id", "term").count().collect()
+    hashed = matching.term_hashes(both.repartition(5), True)
+    assert dict(hashed.dtypes)["term"] == "bigint"
+    got = hashed.collect()
+    key = lambda r: (r["side"], -1 if r["id"] is None else r["id"])
+    assert sorted((*key(r), r["count"]) for r in wanted) == sorted((*key(r), r["tf"]) for r in got)
+    df = lambda rows: sorted(pd.Series([r["term"] for r in rows]).value_counts().tolist())
+    assert df(wanted) == df(got)
