@@ -90,6 +90,12 @@ def weight_or_default(weight: Column) -> Column:
     return F.coalesce(weight, F.lit(fixed.DEFAULT_WEIGHT))
 
 
+def source_totals(edges: DataFrame) -> DataFrame:
+    """(src, total): what the edges of each source weigh together; sources whose total is 0 are left out."""
+    weighted = edges.select("src", weight_or_default(F.col("weight")).alias("w"))
+    return weighted.groupBy("src").agg(F.sum("w").alias("total")).filter("total <> 0")
+
+
 def transition_probabilities(edges: DataFrame) -> DataFrame:
     """(src, dst, p): weights divided by the total of their source; a source whose total is 0 has no moves.
 
@@ -97,8 +103,7 @@ def transition_probabilities(edges: DataFrame) -> DataFrame:
     one task as a window over ``src`` would do.
     """
     weighted = edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w"))
-    totals = weighted.groupBy("src").agg(F.sum("w").alias("total")).filter("total <> 0")
-    return lookup_join(weighted, totals, "src").select(
+    return lookup_join(weighted, source_totals(edges), "src").select(
         "src", "dst", (F.col("w") / F.col("total")).alias("p")
     )
 

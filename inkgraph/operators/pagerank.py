@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from inkgraph.operators.graph import Graph, transition_probabilities
+from inkgraph.operators.graph import Graph, source_totals, transition_probabilities, weight_or_default
 from inkgraph.operators.skew import BROADCAST_ROWS, find_hot
-from inkgraph.session import cut, cut_in_place
+from inkgraph.session import cut, placed
 
 
 ROUNDS_PER_CUT = 5
@@ -21,18 +21,26 @@ def pagerank(graph: Graph, damping: float = 0.85, max_rounds: int = 100, tol: fl
     sinks come back as two numbers.  A round is cached until the next one is done,
     so a lost executor costs at most ``ROUNDS_PER_CUT`` rounds for its part.
     """
-    parts = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    moves = cut(transition_probabilities(graph.edges).repartition(parts, "src", "dst"))     # even, whatever the hubs
-    sources = moves.select(F.col("src").alias("id")).distinct().withColumn("moves_on", F.lit(True))
+    spark = graph.edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    totals = cut(source_totals(graph.edges))
+    sources = totals.select(F.col("src").alias("id"), F.lit(True).alias("moves_on"))
     nodes = cut(graph.nodes.select("id").distinct().join(sources, "id", "left"))
     n, sinks = nodes.agg(F.count("*"), F.count_if(F.col("moves_on").isNull())).first()
     if n == 0:
         return nodes.select("id", F.lit(0.0).alias("pagerank"))
     on_sinks = sinks / n
     few_nodes = n <= BROADCAST_ROWS
-    if not few_nodes:
-        hot = find_hot(moves, "src")
-        moves = cut_in_place(hot.spread(moves, "src", by=["dst"]), "src", "salt")
+    if few_nodes:
+        moves = cut(transition_probabilities(graph.edges).repartition(parts, "src", "dst"))     # even, whatever the hubs
+    else:       # edges are exchanged once, to where the rounds need them; totals come to them there
+        hot = find_hot(graph.edges, "src")
+        moves = placed(spark, lambda: (
+            hot.spread(graph.edges.select("src", "dst", weight_or_default(F.col("weight")).alias("w")), "src", by=["dst"])
+            .repartition(parts, "src", "salt")
+            .join(hot.copy(totals, "src"), ["src", "salt"])
+            .select("src", "salt", "dst", (F.col("w") / F.col("total")).alias("p"))
+        ), "src", "salt")
     ranks = before = nodes.withColumn("rank", F.lit(1.0 / n))
     for done in range(1, max_rounds + 1):
         senders = ranks.select(F.col("id").alias("src"), "rank")

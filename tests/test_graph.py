@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from inkgraph import session
 from inkgraph.operators import betweenness, graph, pagerank, paths, skew, walks
 from inkgraph.sources import tables
 
@@ -262,3 +263,13 @@ def test_lookup_join_plans_without_jobs(spark, threshold):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_pagerank_places_edges_in_one_exchange(spark, chain, monkeypatch):
+    """With many nodes the edges go once to where the rounds need them; before, they were exchanged and written three times."""
+    monkeypatch.setattr(pagerank, "BROADCAST_ROWS", 0)
+    written = []
+    monkeypatch.setattr(pagerank, "cut", lambda df: written.append(set(df.columns)) or session.cut(df))
+    ranks = as_dict(pagerank.pagerank(chain, max_rounds=5))
+    assert sum(ranks.values()) == pytest.approx(1.0)
+    assert not any({"src", "dst"} <= columns for columns in written)
