@@ -26,6 +26,8 @@ WIDTH = 8                 # of an embedding
 WINDOW, STRIDE = 6, 3     # words averaged together
 SAMPLE_DOCS = 4_000       # training texts of each label, at most (in expectation)
 SAMPLE_BYTES = 16 << 20   # of all training texts of each label, at most (in expectation): beyond it fewer texts, each of them whole
+PART_BYTES = 2 << 20      # text whose words are told apart at a time, while training
+PART_WORDS = 1 << 18      # words whose windows are in work at a time, while training
 EPOCHS = 14
 RATE = 0.3
 
@@ -63,15 +65,84 @@ def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, np.minimum(begin + WINDOW, np.repeat(first[1:], count)), at
 
 
-def worst(score: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(largest window mean of each text, that window's begin, its end)."""
+def worst(score: np.ndarray, first: np.ndarray, before: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(largest window mean of each text, that window's begin, its end; ``before`` plus the sum of all scores)."""
     begin, end, at = windows(first)
-    sums = np.concatenate(([0.0], np.cumsum(score, dtype=float)))
+    sums = np.cumsum(np.concatenate(([before], score)), dtype=float)
     mean = (sums[end] - sums[begin]) / np.maximum(1, end - begin)
     top = np.maximum.reduceat(mean, at[:-1]) if len(at) > 1 else np.zeros(0)
     hit = np.flatnonzero(mean == np.repeat(top, np.diff(at)))
     pick = hit[np.searchsorted(hit, at[:-1])]
-    return top, begin[pick], end[pick]
+    return top, begin[pick], end[pick], float(sums[-1])
+
+
+@dataclass
+class Numbered:
+    """The words of many texts as numbers of their vocabulary, four bytes a word; the texts themselves are not held.
+
+    ``word``: of each place; those of text i are ``first[i]:first[i + 1]``.  ``gram``: bucket ids of the
+    vocabulary's n-grams, those of word w from ``gram_first[w]`` on.  ``seen``: for labels 0 and 1, the texts that hold each word.
+    """
+
+    word: np.ndarray
+    first: np.ndarray
+    gram: np.ndarray
+    gram_first: np.ndarray
+    seen: list[np.ndarray]
+
+    def worst(self, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``worst`` of every text by its words' ``score``, a part of the texts at a time; the running sum goes on from part to part."""
+        edges = np.unique(np.searchsorted(self.first, np.append(np.arange(0, self.first[-1], PART_WORDS), self.first[-1])))
+        edges = np.unique(np.concatenate(([0], edges, [len(self.first) - 1])))
+        out, total = [], 0.0
+        for a, b in zip(edges[:-1], edges[1:]):
+            low, high = self.first[a], self.first[b]
+            top, begin, end, total = worst(score[self.word[low:high]], self.first[a: b + 1] - low, total)
+            out.append((top, begin + low, end + low))
+        return tuple(np.concatenate(column) for column in zip(*out))
+
+    def means(self, weights: np.ndarray) -> np.ndarray:
+        """The mean weight of each vocabulary word's n-grams."""
+        out = np.zeros(len(self.gram_first) - 1)
+        for low in range(0, len(out), 100_000):
+            edge = self.gram_first[low: low + 100_001]
+            out[low: low + 100_000] = np.add.reduceat(weights[self.gram[edge[0]: edge[-1]]], edge[:-1] - edge[0]) / np.diff(edge)
+        return out
+
+
+def numbered(data: list[bytes], label: np.ndarray) -> Numbered:
+    """Words are numbered in the order in which they are met, about ``PART_BYTES`` of text at a time."""
+    known, number = np.zeros(0, np.uint64), np.zeros(0, np.int32)       # hashes met so far, sorted, and their numbers
+    word, sizes, gram, gram_sizes = [], [], [], []
+    seen = [np.zeros(0, np.int64)] * 2
+    ends = np.cumsum([len(text) + 1 for text in data])
+    edges = np.unique(np.concatenate(([0], np.searchsorted(ends, np.arange(PART_BYTES, ends[-1], PART_BYTES)), [len(data)])))
+    for a, b in zip(edges[:-1], edges[1:]):
+        words = split(data[a:b])
+        sizes.append(np.diff(words.first))
+        keys, one, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = np.searchsorted(known, keys)
+        fresh = np.ones(len(keys), bool)
+        inside = at < len(known)
+        fresh[inside] = known[at[inside]] != keys[inside]
+        own = np.empty(len(keys), np.int32)
+        own[~fresh] = number[at[~fresh]]
+        own[fresh] = len(known) + np.arange(fresh.sum(), dtype=np.int32)
+        for low in range(0, int(fresh.sum()), 50_000):
+            ids, first = buckets(words, one[fresh][low: low + 50_000], GRAMS, BUCKETS)
+            gram.append(ids.astype(np.int32))
+            gram_sizes.append(np.diff(first))
+        known, number = np.concatenate((known, keys[fresh])), np.concatenate((number, own[fresh]))
+        order = np.argsort(known)
+        known, number = known[order], number[order]
+        word.append(own[back])
+        texts_of = np.unique(back * (b - a) + np.repeat(np.arange(b - a), sizes[-1]))
+        holds = label[a:b][texts_of % (b - a)]
+        for y in (0, 1):
+            seen[y] = np.concatenate((seen[y], np.zeros(len(known) - len(seen[y]), np.int64)))
+            seen[y][own] += np.bincount(texts_of[holds == y] // (b - a), minlength=len(keys))
+    from_zero = lambda parts: np.concatenate([[0], *parts]).cumsum()
+    return Numbered(np.concatenate(word), from_zero(sizes), np.concatenate([np.zeros(0, np.int32), *gram]), from_zero(gram_sizes), seen)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[list[tuple[bytes, int]], float]:
@@ -112,10 +183,9 @@ def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | No
     if not len(label) or label.min() == label.max():
         return None
     rng = np.random.default_rng(seed)
-    words = split([text if isinstance(text, bytes) else text.encode() for text, _ in rows])
-    del rows        # the texts are held once, in ``words``
-    keys, one, back = np.unique(words.hash, return_index=True, return_inverse=True)
-    ids, first = buckets(words, one, GRAMS, BUCKETS)
+    words = numbered([text if isinstance(text, bytes) else text.encode() for text, _ in rows], label)
+    del rows        # from here on the words' numbers are enough
+    ids, first = words.gram, words.gram_first
     spans = np.diff(first)
     embed = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
     soft = rng.normal(0, 0.3, (2, WIDTH)).astype(np.float32)
@@ -123,14 +193,11 @@ def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | No
     squares = [np.full_like(w, 1e-4) for w in (embed, soft, bias)]
 
     # At first a text's worst window is the one with the words most typical of toxic texts.
-    owner = np.repeat(np.arange(len(label)), np.diff(words.first))
-    pairs = np.unique(back * len(label) + owner)
-    seen = [np.bincount(pairs[label[pairs % len(label)] == y] // len(label), minlength=len(keys)) for y in (0, 1)]
+    seen = words.seen
     word_score = np.log((seen[1] + 0.5) / (seen[1].sum() + 1)) - np.log((seen[0] + 0.5) / (seen[0].sum() + 1))
     word_score = np.where(seen[0] + seen[1] >= 3, word_score, 0.0)
-    del owner, pairs, seen
     for _ in range(EPOCHS):
-        _, begin, end = worst(word_score[back], words.first)
+        _, begin, end = words.worst(word_score)
         for part in np.array_split(rng.permutation(len(label)), max(16, len(label) // 256)):
             size = np.maximum(0, end - begin)[part]
             part, size = part[size > 0], size[size > 0]
@@ -138,7 +205,7 @@ def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | No
                 continue
             flat = np.repeat(begin[part] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             doc = np.repeat(np.arange(len(part)), size)
-            word = back[flat]
+            word = words.word[flat]
             n = spans[word]
             gram = ids[np.repeat(first[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             share = np.repeat(1 / (n * size[doc]), n).astype(np.float32)
@@ -158,9 +225,9 @@ def fit(rows: list[tuple[str, int]], prior: float, seed: int = 11) -> Model | No
                 s += g * g
                 w += RATE * g / np.sqrt(s)
         weights = embed @ (soft[1] - soft[0])
-        word_score = np.add.reduceat(weights[ids], first[:-1]) / spans
+        word_score = words.means(weights)
     model = Model(weights, float(bias[1] - bias[0]), 1.0, 0.0)
-    margin = worst(word_score[back], words.first)[0] + model.bias
+    margin = words.worst(word_score)[0] + model.bias
     balance = np.where(label == 1, prior / max(1, label.sum()), (1 - prior) / max(1, (1 - label).sum()))
     model.slope, model.shift = calibrated(margin, label, balance)
     return model
