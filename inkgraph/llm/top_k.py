@@ -21,6 +21,7 @@ CHUNK = 1_024        # candidates in work at a time
 QUERY_SLICE = 256    # queries in work at a time
 GATHER = 50_000      # pairs whose whole rows are gathered at a time
 PARTS = (0.25, 0.5)  # shares of the coordinates after which bounds are tested
+DENSE = 1 / 32       # share of open pairs above which whole blocks are multiplied instead of gathered rows
 SLACK = 1e-9         # relative room for rounding in the bounds
 
 
@@ -67,13 +68,20 @@ def best_pairs(turn: np.ndarray, seeds: tuple[np.ndarray, np.ndarray], top: int)
             asked = np.flatnonzero(length * size[low] + room >= bound)
             if not len(asked):
                 break
+            largest = float(length.max() * size[0])
+            fresh = []
             for first in range(0, len(asked), QUERY_SLICE):     # bounded work: a slice of queries meets a chunk of candidates
                 sub = asked[first:first + QUERY_SLICE]
-                sums, done, pairs = None, 0, None
+                sums, done, pairs, value = None, 0, None, None
                 for c, (rest_q, rest_c) in zip(cuts, rest):
                     if pairs is None:
                         sums = spun_q[sub, done:c] @ spun_c[part, done:c].T
                         open_ = sums + rest_q[sub][:, None] * rest_c[part] + room[sub][:, None] >= bound[sub][:, None]
+                        if largest < 2**52 and np.count_nonzero(open_) > DENSE * open_.size:
+                            value = queries[sub] @ candidates[part].T       # whole numbers that doubles hold: exact, as ``dots``
+                            q, x = np.nonzero(value >= bound[sub][:, None])
+                            pairs, value = (sub[q], x + low), value[q, x].astype(np.int64)
+                            break
                         q, x = np.nonzero(open_)
                         pairs, sums = (sub[q], x + low), sums[q, x]
                     else:
@@ -86,14 +94,18 @@ def best_pairs(turn: np.ndarray, seeds: tuple[np.ndarray, np.ndarray], top: int)
                     pairs = q.ravel(), x.ravel()
                 keep = query_ids[pairs[0]] != ids[pairs[1]]
                 q, x = pairs[0][keep], pairs[1][keep]
-                largest = float(length.max() * size[0])
-                value = np.concatenate([np.zeros(0, np.int64)] + [
-                    dots(queries[q[i:i + GATHER]], candidates[x[i:i + GATHER]], largest) for i in range(0, len(q), GATHER)])
+                if value is None:
+                    value = np.concatenate([np.zeros(0, np.int64)] + [
+                        dots(queries[q[i:i + GATHER]], candidates[x[i:i + GATHER]], largest) for i in range(0, len(q), GATHER)])
+                else:
+                    value = value[keep]
                 keep = value >= bound[q]
-                merged = [np.concatenate((a, b)) for a, b in zip(out, (q[keep], ids[x[keep]], value[keep]))]
-                *out, rank = keep_best(*merged, top)
-                last = rank == top - 1
-                bound[out[0][last]] = np.maximum(bound[out[0][last]], out[2][last])
+                fresh.append((q[keep], ids[x[keep]], value[keep]))
+                if first + QUERY_SLICE >= len(asked) or sum(len(f[0]) for f in fresh) > GATHER:      # slices share no query
+                    *out, rank = keep_best(*(np.concatenate(column) for column in zip(out, *fresh)), top)
+                    last = rank == top - 1
+                    bound[out[0][last]] = np.maximum(bound[out[0][last]], out[2][last])
+                    fresh = []
         return tuple(out)
     return best
 

@@ -99,3 +99,22 @@ def test_stages_take_awkward_and_empty_tables(spark):
     for some in (docs.unionByName(odd), docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, some.withColumn("score", F.lit(1)), FOLDER).count() >= 0
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_top_k_gathers_no_rows_where_bounds_do_not_prune(monkeypatch, dense):
+    """Vectors of like lengths in all directions: nearly every pair stays open, and blocks are multiplied whole."""
+    rng = np.random.default_rng(4)
+    x = np.floor(64 * rng.normal(size=(3_000, 32)))
+    ids, asked = np.arange(3_000), np.arange(0, 3_000, 10)
+    gathered, plain = [], top_k.dots
+    monkeypatch.setattr(top_k, "dots", lambda a, b, largest: gathered.append(len(a)) or plain(a, b, largest))
+    if not dense:
+        monkeypatch.setattr(top_k, "DENSE", 1.0)
+    seeds = ids[:40], x[:40]
+    query, found, value = top_k.best_pairs(np.eye(32), seeds, 20)(asked, x[asked], ids, x)
+    got = {}
+    for q, c, v in zip(asked[query], found, value):
+        got.setdefault(int(q), []).append((int(c), float(v)))
+    assert got == best(ids, x, asked, 20)
+    assert sum(gathered) < 0.05 * len(asked) * len(ids) or not dense
