@@ -12,6 +12,7 @@ in it by their number among those of equal length.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from inkgraph.llm.common import texts
 from inkgraph.llm.hashed_words import chunks
@@ -30,11 +32,25 @@ STEP = 16                # tail lengths are rounded up to multiples of this in t
 DEPTH = 3                # different parts of a combination
 END = 2                  # id that closes a document
 KEPT_WORDS = 1_000_000   # encoded words kept by a worker
+NO_ID = 0xFFFFFFFF
+TOGETHER = 100           # pieces encoded in one call
 GROUP = 20_000           # tails numbered together, in expectation
 
+# The pattern by which the tokenizer cuts a text into pieces, and the same for lower-case ASCII and Latin-1 letters.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-zß-öø-ÿ0-9\x20\t-\r]+")
+# The characters that byte-level models have for the bytes they do not show as themselves; a line feed only parts pieces.
+HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+SHOWN = {b: 256 + i for i, b in enumerate(HIDDEN) if b != 10}
+LATIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]+")
+
 
 class WordEncoder(dict):
-    """Ids (as little-endian bytes) by word, for a tokenizer that drops white space; filled as words are met."""
+    """Ids (as little-endian bytes) by word, for a tokenizer that drops white space; filled as words are met.
+
+    ``parts`` has the ids of the pieces in which the tokenizer itself takes a
+    Latin word (runs of letters, of signs, single digits): far fewer than words.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks are the parallel part
@@ -42,6 +58,13 @@ class WordEncoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special_like = re.compile("|".join(re.escape(s.lower()) for s in self.specials) or r"(?!)").search
+        self.fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        model = Tokenizer(self.tokenizer.model)
+        model.pre_tokenizer = WhitespaceSplit()
+        self.model_batch = model.encode_batch      # the fast one numbers no pieces
+        self.apart = SPLIT in str(self.tokenizer.pre_tokenizer)      # else words are left to the tokenizer whole
+        self.parts: dict[str, bytes] = {"\n": np.array([NO_ID], "<u4").tobytes()}
         self[""] = b""
 
     def words(self, text: str) -> list[str]:
@@ -54,20 +77,59 @@ class WordEncoder(dict):
                 text = low
         return text.split(" ")
 
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces in lower case by the tokenizer's model: many at once, told apart by their number."""
+        out = []
+        for low in range(0, len(pieces), TOGETHER):
+            some = pieces[low: low + TOGETHER]
+            shown = " ".join(some)
+            if not (shown.isascii() and shown.isprintable()):
+                shown = shown.encode().replace(b" ", b"\n").decode("latin-1").translate(SHOWN)
+            done = self.model_batch([shown], add_special_tokens=False)[0]
+            number, ids = np.array(done.word_ids, np.int64), np.array(done.ids, "<u4").tobytes()
+            edge = (4 * np.searchsorted(number, np.arange(len(some) + 1))).tolist()
+            out += [ids[a:b] for a, b in zip(edge, edge[1:])]
+        return out
+
+    def learn(self, words: set[str]) -> None:
+        """Ids of new words.  Words of ASCII and Latin-1 letters are taken as the tokenizer's pieces of them; others, and those like a special token, whole."""
+        latin = [w for w in words if w.isascii() or LATIN.fullmatch(w)] if self.apart else []
+        low = "\n".join(latin).lower()
+        if self.special_like(low):
+            latin = [w for w in latin if not self.special_like(w.lower())]
+            low = "\n".join(latin).lower()
+        whole = sorted(words.difference(latin))
+        self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(whole, self.fast(whole, add_special_tokens=False)))
+        pieces = PIECES.findall(low)      # a line feed, as a piece, parts words
+        fresh = sorted(set(pieces) - self.parts.keys(), key=str.isascii)      # those in ASCII need no other characters
+        self.parts.update(zip(fresh, self.encode_pieces(fresh)))
+        ids = np.frombuffer(b"".join(map(self.parts.__getitem__, pieces)), "<u4")
+        ends = (4 * np.flatnonzero(ids == NO_ID)).tolist() + [4 * len(ids)]
+        data, start = ids.tobytes(), 0
+        for w, end in zip(latin, ends):
+            self[w] = data[start:end]
+            start = end + 4
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; the words not met before are encoded together in one call."""
+        """Ids of each text; the pieces of words not met before are encoded together."""
         split = [self.words(t) for t in texts]
-        fresh = sorted({w for ws in split for w in ws if w not in self})
-        if fresh:
-            batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            made = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, batch(fresh, add_special_tokens=False))}
-            if len(self) + len(made) > KEPT_WORDS:
-                self.clear()
-                self[""] = b""
-            self.update((w, ids) for w, ids in made.items() if len(w) <= 64)
-        else:
-            made = {}
-        return [b"".join(self[w] if w in self else made[w] for w in ws) for ws in split]
+        found = [list(map(self.get, ws)) for ws in split]
+        unknown = [i for i, ids in enumerate(found) if None in ids]
+        words = {w for i in unknown for w, ids in zip(split[i], found[i]) if ids is None}
+        if words:
+            self.learn(words)
+            for i in unknown:
+                found[i] = map(self.__getitem__, split[i])
+        done = [b"".join(ids) for ids in found]
+        for w in words:
+            if len(w) > 64:
+                del self[w]
+        if len(self) > KEPT_WORDS:
+            self.clear()
+            self[""] = b""
+        if len(self.parts) > KEPT_WORDS // 2:
+            self.parts = {"\n": self.parts["\n"]}
+        return done
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]

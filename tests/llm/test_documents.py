@@ -342,3 +342,18 @@ def test_packing_ids_with_special_tokens_in_any_case():
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
     assert [enc.encode(t) for t in texts] == got
+
+
+def test_packing_encodes_pieces_of_words_once():
+    """A word with other signs or case around it is made of pieces met before; odd words keep the tokenizer's ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc, rng = Tokenizer.from_file(path), packing.WordEncoder(path), random.Random(3)
+    enc.encode_many(["alpha größe don't 12"])
+    known = set(enc.parts)
+    enc.encode_many(['"Alpha, GRÖSSE... (größe) Größe! alpha\'t 2121']) and enc.encode("ALPHA")
+    assert set(enc.parts) - known == {'"', ",", "grösse", "...", "(", ")", "!"}
+    parts = ["'s", "'S", "''", "'", '"', "'ll", "'LL", "a", "Z", "9", "12", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "\n", "\t", "\x0b",
+             "\r", "\x1c", "\x00", "\x7f", "é", "É", "ß", "İ", "×", "ª", "-", "$", "'t", "don't", "\u0301", "\u0338", "=", "\u2009", "\x85", "Ж", "語", "½"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 14))) for _ in range(3_000)]
+    for text, ids in zip(texts, enc.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
