@@ -95,8 +95,11 @@ def _order(score: Column) -> Column:
 def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     """(item_id, rank, doc_id, score, rounds): each item's ``k`` best documents with a score above 0."""
     item_id = F.col("item_id").cast("long")
-    item_terms = cut(items.select(F.coalesce(item_id.cast("string"), F.lit("null")).alias("item"), item_id.alias("item_id"),
-                                  F.explode(terms(F.col("text"))).alias("term")).distinct())
+    named = cut(items.select(F.coalesce(item_id.cast("string"), F.lit("null")).alias("name"), item_id.alias("item_id"),
+                             F.explode(terms(F.col("text"))).alias("term")).distinct())
+    # Items go by a number, as it is part of the key by which bounds are summed.
+    numbers = cut(named.select("name").distinct().withColumn("item", F.monotonically_increasing_id()))
+    item_terms = cut(named.join(numbers, "name").select("item", "item_id", "term"))
     scored = postings(docs, item_terms)
     cuts = scored.approxQuantile("impact", list(LEVELS), 0.001) if scored.take(1) else []
     level = F.lit(len(cuts))
@@ -112,11 +115,14 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
         lists = cut(active.join(left, "term", "left").select("item", "term", F.coalesce("rest", F.lit(0)).alias("rest")))
         unseen = cut(lists.groupBy("item").agg(F.sum("rest").alias("unseen")))
         seen = scored.filter(F.col("impact") >= F.lit(cuts[r])) if r < last else scored
-        # bucketed by key: the sums per (item, document) are taken where the postings lie
-        bounds = (seen.join(_small(lists), "term").groupBy("item", "key", "doc_id")
-                  .agg(F.sum("impact").alias("lower"), F.sum("rest").alias("seen_rest"))
-                  .join(_small(unseen), "item")
-                  .withColumn("upper", F.col("lower") + F.col("unseen") - F.col("seen_rest")))
+        # bucketed by key: the sums per (item, document) are taken where the postings lie; a key has one doc_id
+        sums = [F.max("doc_id").alias("doc_id"), F.sum("impact").alias("lower")]
+        if r == last:             # nothing is left unseen
+            bounds = seen.join(_small(lists.drop("rest")), "term").groupBy("item", "key").agg(*sums).withColumn("upper", F.col("lower"))
+        else:
+            bounds = (seen.join(_small(lists), "term").groupBy("item", "key").agg(*sums, F.sum("rest").alias("seen_rest"))
+                      .join(_small(unseen), "item")
+                      .withColumn("upper", F.col("lower") + F.col("unseen") - F.col("seen_rest")))
         if floor is not None:     # a document that cannot reach the k-th score known already takes no part
             bounds = bounds.join(_small(floor), "item", "left").filter(
                 F.col("floor").isNull() | (F.col("upper") >= F.col("floor"))).drop("floor")
@@ -127,15 +133,18 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
         if r == last:             # every score is exact and every list read: all items finish
             found.append(best.select("item", "key", "doc_id", F.col("lower").alias("score"), F.lit(r + 1).alias("rounds")))
             break
-        challengers = (bounds.join(_small(kth), "item")
-                       .filter((_order(F.col("lower")) > F.col("kth")) & (_order(F.col("upper")) < F.col("kth")))
-                       .groupBy("item").agg(F.count("*").alias("challengers")))
+        # Items that unseen documents or inexact scores leave open anyway need no look at all documents seen.
         status = (unseen.join(best.groupBy("item").agg(F.min((F.col("lower") == F.col("upper")).cast("int")).alias("exact")),
-                              "item", "left")
-                  .join(kth, "item", "left").join(challengers, "item", "left"))
-        done = F.coalesce(F.col("exact"), F.lit(1)).cast("boolean") & F.col("challengers").isNull() & F.when(
+                              "item", "left").join(kth, "item", "left"))
+        settled = F.coalesce(F.col("exact"), F.lit(1)).cast("boolean") & F.when(
             F.col("kth_score").isNotNull(), F.col("unseen") < F.col("kth_score")).otherwise(F.col("unseen") == 0)
-        finished = cut(status.filter(done).select("item"))
+        hopeful = cut(status.filter(settled).select("item", "kth"))
+        if hopeful.isEmpty():
+            continue
+        challengers = (bounds.join(_small(hopeful), "item")
+                       .filter((_order(F.col("lower")) > F.col("kth")) & (_order(F.col("upper")) < F.col("kth")))
+                       .select("item").distinct())
+        finished = cut(hopeful.select("item").join(challengers, "item", "left_anti"))
         found.append(best.join(finished, "item", "left_semi").select("item", "key", "doc_id", F.col("lower").alias("score"),
                                                                         F.lit(r + 1).alias("rounds")))
         active = active.join(finished, "item", "left_anti")

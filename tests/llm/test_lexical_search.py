@@ -74,3 +74,18 @@ def test_empty_tables(spark):
     assert lexical_search.search(d, b).collect() == []
     assert lexical_search.search(spark.createDataFrame([(1, "a")], "doc_id long, text string"),
                                  spark.createDataFrame([], "item_id long, text string")).collect() == []
+
+
+def test_rounds_that_settle_no_item_read_their_postings_once(spark, monkeypatch):
+    """Items of many terms need the last level: no round before it looks for challengers, and the last sums no bounds."""
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choices(vocab, k=30))) for i in range(80)]
+    items = [(i, " ".join(rng.sample(vocab, 30))) for i in range(3)]
+    joined, plain = [], lexical_search._small
+    monkeypatch.setattr(lexical_search, "_small", lambda df: joined.append(df.columns) or plain(df))
+    got = lexical_search.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), 5).collect()
+    assert {(r.item_id, r.rank, r.doc_id, r.score) for r in got} == brute(docs, items, 5)
+    assert {r.rounds for r in got} == {len(lexical_search.LEVELS) + 1}
+    assert not any("kth" in columns for columns in joined)
+    assert sum("rest" in columns for columns in joined) == len(lexical_search.LEVELS)
