@@ -84,7 +84,7 @@ def spread_lookup(many: DataFrame, few: DataFrame, key: str, rows: str, by: str)
 
 
 def release_memory() -> None:
-    """Give the driver's freed heap back to the system after a fit held in it, so later stages start lean.
+    """Give freed heap back to the system, after a fit held in the driver or at the end of a worker's task, so later stages start lean.
 
     Python keeps freed small objects in its own arenas, Arrow its buffers in its
     pool and glibc freed heap pages; all three are returned.  Elsewhere than on glibc it does nothing.

@@ -28,7 +28,11 @@ SAMPLE_WORDS = 120        # neighbouring words taken from each of them, from a p
 SEGMENT = 12              # mean words between two switches in training sequences
 LENGTH = 60
 EPOCHS = 4
-CHUNK = 16 << 20          # bytes of text labelled at a time
+CHUNK = 8 << 20           # bytes of text labelled at a time
+TOGETHER = 10_000         # words whose n-grams are found at a time
+IS_LETTER = np.zeros(256, bool)
+IS_LETTER[97:123] = True
+IS_LETTER[128:] = True
 
 
 @dataclass
@@ -45,8 +49,8 @@ class Field:
         """One row of language scores for each chosen word; equal words are computed once."""
         keys, one, back = np.unique(words.hash[chosen], return_index=True, return_inverse=True)
         out = np.zeros((len(keys), len(self.languages)), np.float32)
-        for low in range(0, len(keys), 50_000):
-            some = slice(low, low + 50_000)
+        for low in range(0, len(keys), TOGETHER):
+            some = slice(low, low + TOGETHER)
             ids, first = buckets(words, chosen[one[some]], GRAMS, BUCKETS)
             out[some] = np.add.reduceat(self.weights[ids], first[:-1], axis=0)
             out[some] /= np.sqrt(np.diff(first), dtype=np.float32)[:, None]
@@ -64,9 +68,9 @@ def lexicon_entries(lexicon: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray,
 
 def lettered(words: Words) -> np.ndarray:
     """Words with an ASCII letter or a byte beyond ASCII."""
-    letter = ((words.data >= 97) & (words.data <= 122)) | (words.data >= 128)
-    seen = np.concatenate(([0], np.cumsum(letter)))
-    return np.flatnonzero(seen[words.end] > seen[words.start])
+    if not len(words.start):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.logical_or.reduceat(IS_LETTER[words.data], words.start))      # what parts words holds no letter
 
 
 def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -195,13 +199,13 @@ def predict(field: Field | None, data: list[bytes]) -> tuple[list[str], np.ndarr
     use = lettered(words)
     first = np.searchsorted(use, words.first)
     posterior = forward_backward(field.emissions(words, use), first, field.transitions)
-    sums = np.concatenate((np.zeros((1, posterior.shape[1])), np.cumsum(posterior, axis=0, dtype=float)))
-    total = sums[first[1:]] - sums[first[:-1]]
-    for i in np.flatnonzero(np.diff(first) > 0):
+    worded = np.flatnonzero(np.diff(first) > 0)
+    total = np.add.reduceat(posterior, first[worded], axis=0, dtype=float) if len(worded) else []
+    for i, sums in zip(worded, total):
         if has_letter(data[i][:64]) or has_letter(data[i]):
-            best = int(np.argmax(total[i]))
+            best = int(np.argmax(sums))
             languages[i] = field.languages[best]
-            scores[i] = min(1.0, max(0.0, total[i][best] / (first[i + 1] - first[i])))
+            scores[i] = min(1.0, max(0.0, sums[best] / (first[i + 1] - first[i])))
     return languages, scores
 
 
@@ -222,6 +226,7 @@ def identify(docs: DataFrame, train: Column, *keep: str) -> DataFrame:
                 languages, scores = predict(field.value, data)
                 own = [batch[c].slice(low, high - low) for c in ("doc_id", *keep)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(languages, pa.string()), pa.array(scores)], names)
+        release_memory()
 
     names = ["doc_id", *keep, "lang_pred", "score"]
     return rows.mapInArrow(run, schema_of(rows, "doc_id", *keep) + "lang_pred string, score double")

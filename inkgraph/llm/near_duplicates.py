@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from inkgraph.llm.common import texts
+from inkgraph.llm.common import release_memory, texts
 from inkgraph.llm.components import components
 from inkgraph.llm.hashed_words import chunks, mix, split
 from inkgraph.session import cut
@@ -131,6 +131,7 @@ def _fingerprint(level: Level):
                     batch["doc_id"].slice(low, high - low), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(print_a), pa.array(print_b), pa.ListArray.from_arrays(pa.array(ends), pa.array(bands)),
                 ], ["doc_id", "n_shingles", "print_a", "print_b", "bands"])
+        release_memory()
     return run
 
 

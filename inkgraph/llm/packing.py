@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from inkgraph.llm.common import texts
+from inkgraph.llm.common import release_memory, texts
 from inkgraph.llm.hashed_words import chunks
 from inkgraph.session import cut
 
@@ -31,7 +31,10 @@ WINDOW = 4_096
 STEP = 16                # tail lengths are rounded up to multiples of this in the plan
 DEPTH = 3                # different parts of a combination
 END = 2                  # id that closes a document
-KEPT_WORDS = 1_000_000   # encoded words kept by a worker
+KEPT_WORDS = 500_000     # encoded words kept by a worker within a task
+KEPT_BETWEEN = 100_000   # and from one task for the next, which may be of another stage
+KEPT_LENGTH = 64         # of the longest words and pieces kept
+CHUNK = 2 << 20          # bytes of text encoded at a time
 NO_ID = 0xFFFFFFFF
 TOGETHER = 100           # pieces encoded in one call
 GROUP = 20_000           # tails numbered together, in expectation
@@ -109,6 +112,9 @@ class WordEncoder(dict):
         for w, end in zip(latin, ends):
             self[w] = data[start:end]
             start = end + 4
+        for p in fresh:
+            if len(p) > KEPT_LENGTH:
+                del self.parts[p]
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; the pieces of words not met before are encoded together."""
@@ -122,14 +128,18 @@ class WordEncoder(dict):
                 found[i] = map(self.__getitem__, split[i])
         done = [b"".join(ids) for ids in found]
         for w in words:
-            if len(w) > 64:
+            if len(w) > KEPT_LENGTH:
                 del self[w]
-        if len(self) > KEPT_WORDS:
+        self.forget(KEPT_WORDS)
+        return done
+
+    def forget(self, most: int) -> None:
+        """All words go if they are more than ``most``, and so do all pieces."""
+        if len(self) > most:
             self.clear()
             self[""] = b""
-        if len(self.parts) > KEPT_WORDS // 2:
+        if len(self.parts) > most:
             self.parts = {"\n": self.parts["\n"]}
-        return done
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
@@ -144,15 +154,14 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): every document's full windows, then its tail."""
+def _cutter(path: str, window: int, end: int):
     closing = np.array([end], "<u4").tobytes()
 
     def run(batches):
         encode_many = encoder(path).encode_many
         for batch in batches:
             doc_ids = batch["doc_id"].to_pylist()
-            for low, high, data in chunks(batch["text"]):
+            for low, high, data in chunks(batch["text"], CHUNK):
                 out = []
                 encoded = encode_many([text.decode("utf-8", "replace") for text in data])
                 for doc_id, done in zip(doc_ids[low:high], encoded):
@@ -165,8 +174,15 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 )
+        encoder(path).forget(KEPT_BETWEEN)
+        release_memory()      # the worker lives on, in the pipeline with tasks of other stages
+    return run
+
 
-    return texts(docs).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens): every document's full windows, then its tail."""
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    return texts(docs).mapInArrow(_cutter(path, window, end), schema)
 
 
 def combinations(units: int, depth: int = DEPTH) -> list[tuple[int, ...]]:

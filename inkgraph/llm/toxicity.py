@@ -266,6 +266,7 @@ def score(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
                 value = np.zeros(len(data)) if shared.value is None else shared.value.scores(data)
                 own = [batch[c].slice(low, high - low) for c in ("doc_id", *keep)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(value), pa.array((value >= 0.5).astype(np.int32))], names)
+        release_memory()
 
     names = ["doc_id", *keep, "score", "predicted"]
     return rows.mapInArrow(run, schema_of(rows, "doc_id", *keep) + "score double, predicted int")
