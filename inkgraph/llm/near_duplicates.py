@@ -30,6 +30,7 @@ from inkgraph.session import cut
 
 WORDS = 5
 PLACES = 1 << 20            # D
+CHUNK = 2 << 20             # bytes of text in work at a time
 BLOCK_SHINGLES = 3_000_000  # 8 bytes each
 HOT_PARTS = 2_000           # a set with more than this part of all rows is not sent to one task
 PAIR_KEY = np.uint64(0x9E3779B97F4A7C15)
@@ -121,7 +122,7 @@ def _fingerprint(level: Level):
     def run(batches):
         """doc_id, set size, a 128-bit hash of the set, band keys (none for an empty set)."""
         for batch in batches:
-            for low, high, data in chunks(batch["text"]):
+            for low, high, data in chunks(batch["text"], CHUNK):
                 sets = shingle_sets(data)
                 full = [s for s in sets if len(s)]
                 bands = band_keys(signatures(full, level), level).ravel()

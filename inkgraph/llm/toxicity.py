@@ -26,6 +26,7 @@ WIDTH = 8                 # of an embedding
 WINDOW, STRIDE = 6, 3     # words averaged together
 SAMPLE_DOCS = 4_000       # training texts of each label, at most (in expectation)
 SAMPLE_BYTES = 16 << 20   # of all training texts of each label, at most (in expectation): beyond it fewer texts, each of them whole
+TOGETHER = 10_000         # words whose n-grams are found at a time, while scoring
 PART_BYTES = 2 << 20      # text whose words are told apart at a time, while training
 PART_WORDS = 1 << 18      # words whose windows are in work at a time, while training
 EPOCHS = 14
@@ -44,8 +45,8 @@ class Model:
     def word_scores(self, words: Words) -> np.ndarray:
         keys, one, back = np.unique(words.hash, return_index=True, return_inverse=True)
         out = np.zeros(len(keys), np.float32)
-        for low in range(0, len(keys), 100_000):
-            some = slice(low, low + 100_000)
+        for low in range(0, len(keys), TOGETHER):
+            some = slice(low, low + TOGETHER)
             ids, first = buckets(words, one[some], GRAMS, BUCKETS)
             out[some] = np.add.reduceat(self.weights[ids], first[:-1]) / np.diff(first)
         return out[back]

@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from inkgraph.llm import language, packing
+from inkgraph.llm import language, packing, toxicity
 
 
 def words(rng, n):
@@ -51,3 +51,16 @@ def test_language_holds_little_beside_the_text():
     assert scores[:10] == pytest.approx([one[0] for _, one in alone], abs=1e-5)
     assert language.predict(field, [b"", b" "])[0] == ["und", "und"] and len(language.lettered(language.split([]))) == 0
     assert np.array_equal(language.lettered(language.split([b"1 a2  .. \xc3\xa4"])), [1, 3])
+
+
+def test_toxicity_holds_little_beside_the_text():
+    """Text of new words only, whose n-grams are found some at a time; scores are those of the texts alone."""
+    rng = random.Random(8)
+    data = [words(rng, 700).encode() for _ in range(400)]
+    model = toxicity.Model(np.random.default_rng(1).normal(0, 1, toxicity.BUCKETS), 0.1, 1.0, 0.0)
+    tracemalloc.start()
+    scores = model.scores(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(map(len, data))
+    assert scores[:5] == pytest.approx([model.scores([text])[0] for text in data[:5]], abs=1e-9)
