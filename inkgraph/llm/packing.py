@@ -34,7 +34,7 @@ END = 2                  # id that closes a document
 KEPT_WORDS = 500_000     # encoded words kept by a worker within a task
 KEPT_BETWEEN = 100_000   # and from one task for the next, which may be of another stage
 KEPT_LENGTH = 64         # of the longest words and pieces kept
-CHUNK = 2 << 20          # bytes of text encoded at a time
+CHUNK = 8 << 20          # bytes of text encoded at a time
 NO_ID = 0xFFFFFFFF
 TOGETHER = 100           # pieces encoded in one call
 GROUP = 20_000           # tails numbered together, in expectation
